@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, spans, split
+from . import bpe, neardup, packing, spans, split
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,17 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.dropDuplicates(["doc_id", "chunk_idx", "version", "piece_idx"])
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = neardup.similar_pairs(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"), text_col="full_text", width=5, threshold=0.5, min_words=100)
+    titles = neardup.similar_pairs(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
+    return texts.select(F.lit("full_text").alias("field"), "doc_a", "doc_b").unionByName(titles.select(F.lit("title").alias("field"), "doc_a", "doc_b"))
+
+
+def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record that is like another in text or title: its group and how many records it is like."""
+    return neardup.components(p4_found(spark, sf_dir).select("doc_a", "doc_b").distinct()).withColumnRenamed("id", "doc_id")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
@@ -49,11 +60,25 @@ def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (p1_found, p1_pieces, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
+    q.__name__: q for q in (p1_found, p1_pieces, p4_found, p4_groups, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
 }
 
 ORACLE: dict[str, str] = {
     "p1_found": "SELECT DISTINCT doc_id, chunk_idx FROM chunks WHERE length(text) > 1200",
+    "p4_found": r"""
+WITH w AS (SELECT DISTINCT doc_id, list_transform(regexp_extract_all(full_text, '\p{L}{3,}'), lambda x: lower(x)) AS ws FROM full_texts WHERE full_text IS NOT NULL),
+big AS (SELECT row_number() OVER () AS r, doc_id, ws FROM w WHERE len(ws) >= 100),
+sh AS (SELECT DISTINCT r, doc_id, hash(ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4]) AS s FROM big, unnest(range(1, len(ws) - 3)) AS u(i)),
+n AS (SELECT r, doc_id, count(*) AS n FROM sh GROUP BY r, doc_id),
+c AS (SELECT a.r AS ra, b.r AS rb, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY a.r, b.r),
+texts AS (SELECT 'full_text' AS field, least(x.doc_id, y.doc_id) AS doc_a, greatest(x.doc_id, y.doc_id) AS doc_b
+          FROM c JOIN n x ON x.r = ra JOIN n y ON y.r = rb WHERE x.doc_id <> y.doc_id AND 2 * c >= x.n + y.n - c),
+tw AS (SELECT row_number() OVER () AS r, doc_id, ws FROM (SELECT DISTINCT doc_id, list_distinct(list_transform(regexp_extract_all(title, '\p{L}{3,}'), lambda x: lower(x))) AS ws FROM metadata WHERE title IS NOT NULL)),
+ts AS (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS s FROM tw),
+tc AS (SELECT a.doc_id AS da, b.doc_id AS db, a.n AS na, b.n AS nb, count(*) AS c FROM ts a JOIN ts b ON a.s = b.s AND a.r < b.r AND a.doc_id <> b.doc_id GROUP BY a.r, b.r, a.doc_id, b.doc_id, a.n, b.n),
+titles AS (SELECT 'title' AS field, least(da, db) AS doc_a, greatest(da, db) AS doc_b FROM tc WHERE 5 * c >= 3 * (na + nb - c))
+SELECT DISTINCT * FROM (SELECT * FROM texts UNION ALL SELECT * FROM titles)
+""",
     "p8_lines": r"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
 arr AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM d),
