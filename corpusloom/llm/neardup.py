@@ -15,7 +15,6 @@ class, compared once and expanded at the end; a record with several rows counts
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +37,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
-    found = WORDS.findall(text) if text else []
-    return " ".join(found).lower().split(" ") if found else []
+    """The words as they stand; their case is dropped where they are hashed."""
+    return WORDS.findall(text) if text else []
 
 
 def _hash(word: str) -> int:
@@ -52,70 +51,95 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Sequences:
-    """The sequences of a text as 64-bit numbers, with the sum of their words' log frequencies (-inf: one is rare)."""
+class _Index(dict):
+    """Word to position in the tables below; a new word is added as it is looked up."""
 
-    def __init__(self, width: int, frequent: dict[int, float]) -> None:
-        self.width, self.frequent = width, frequent
-        self.index: dict[str, int] = {}
+    def __init__(self, frequent: dict[int, float]) -> None:
+        self.frequent = frequent
         self.hashes = np.zeros(1 << 12, np.uint64)
         self.logs = np.zeros(1 << 12)
 
-    def _index(self, word: str) -> None:
-        k = self.index[word] = len(self.index)
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
         if k >= len(self.hashes):
             self.hashes, self.logs = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.logs))
-        self.hashes[k] = h = _hash(word)
+        self.hashes[k] = h = _hash(word.lower())
         self.logs[k] = self.frequent.get(h, -math.inf)
+        return k
+
+
+class Sequences:
+    """The sequences of a text as 64-bit numbers, with the sum of their words' log frequencies (-inf: one is rare)."""
+
+    def __init__(self, width: int, frequent: dict[int, float]) -> None:
+        self.width, self.index = width, _Index(frequent)
+
+    def ids(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """Positions of the words in this object's tables."""
-        if len(self.index) > 500_000:  # bounds a worker's memory
-            self.index.clear()
-        ids = list(map(self.index.get, words))
-        if None in ids:
-            for word in words:
-                if word not in self.index:
-                    self._index(word)
-            ids = list(map(self.index.get, words))
-        return np.array(ids)
-
-    def raw(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        n = len(words) - self.width + 1
+    def renew(self) -> None:
+        """Bounds a worker's memory; called between texts."""
+        if len(self.index) > 500_000:
+            self.index = _Index(self.index.frequent)
+
+    def raw(self, ids: np.ndarray) -> np.ndarray:
+        n = len(ids) - self.width + 1
         if n < 1:
-            return np.zeros(0, np.uint64), np.zeros(0)
-        ids = self.words(words)
-        hashes, logs = self.hashes[ids], self.logs[ids]
-        total, weight = hashes[:n], logs[:n]
+            return np.zeros(0, np.uint64)
+        hashes = self.index.hashes[ids]
+        total = hashes[:n]
         for j in range(1, self.width):
-            total = _mix(total * _STEP + hashes[j : j + n])
-            weight = weight + logs[j : j + n]
-        return total, weight
+            total = total * _STEP + hashes[j : j + n]
+        return _mix(total)
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        total, weight = self.raw(words)
-        total, first = np.unique(total, return_index=True)
-        return total, weight[first]
+        ids = self.ids(words)
+        total, first = np.unique(self.raw(ids), return_index=True)
+        logs = np.concatenate([[0.0], np.cumsum(np.where(np.isneginf(own := self.index.logs[ids]), -1e9, own))])
+        weight = logs[first + self.width] - logs[first]
+        return total, np.where(weight < -1e8, -np.inf, np.round(weight, 3))
 
 
 def depth(n: int) -> int:
     """How many index entries two partners share at least, of sets of n."""
-    return 1 + n // 12
+    return 1 + n // 24
+
+
+#: Frequent members are paired within this many buckets, which costs a prefix so many members more and saves most pairs.
+BUCKETS = 8
+
+
+def small(threshold: float) -> int:
+    """Sets up to this size may have too few members for the buckets."""
+    n = 1
+    while math.ceil(threshold * n - 1e-9) < depth(n) + BUCKETS:
+        n += 1
+    return n
 
 
 def signatures(total: np.ndarray, weight: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(single, pairs): what a set is indexed by. counts: of the listed members how often they stand, else 0."""
+    """(rare, hot): what a set is indexed by. counts: of the listed members how often they stand, else 0.
+
+    A small set, and any that may be the partner of one, is indexed by every member of its plain prefix.
+    """
     n = len(total)
     take = n - math.ceil(threshold * n - 1e-9) + depth(n)
     order = np.lexsort((total, weight, counts))
-    listed = counts[order] > 0
-    if n == 1 or not listed[:take].any():
-        return total[order[:take]], total[:0]
-    prefix = order[: take + 1]
-    one, two = prefix[counts[prefix] == 0], prefix[counts[prefix] > 0]
-    two = np.sort(total[two])
-    i, j = np.triu_indices(len(two), 1)
-    return total[one], _mix(two[i] * _STEP + two[j])
+    plain = order[:take]
+    listed = counts[plain] > 0
+    if not listed.any():
+        return total[plain], total[:0]
+    hot = [total[plain[listed]]] if n * threshold <= small(threshold) else []
+    if n <= small(threshold):
+        return total[plain[~listed]], hot[0]
+    prefix = order[: take + BUCKETS]
+    two = total[prefix[counts[prefix] > 0]]
+    bucket = _mix(two) % np.uint64(BUCKETS)
+    for k in range(BUCKETS):
+        own = np.sort(two[bucket == k])
+        i, j = np.triu_indices(len(own), 1)
+        hot.append(_mix(own[i] * _STEP + own[j]))
+    return total[prefix[counts[prefix] == 0]], np.concatenate(hot)
 
 
 def _shared(total_a: np.ndarray, total_b: np.ndarray) -> tuple[int, int]:
@@ -131,34 +155,35 @@ def frequencies(texts: DataFrame, width: int, min_words: int) -> tuple[dict[int,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequences = Sequences(width, {})
-        counts: Counter[str] = Counter()
         held: list[np.ndarray] = []
         size = total = 0
 
-        def out(last: bool) -> Iterator[pa.RecordBatch]:
+        def out(last: bool) -> pa.RecordBatch:
             nonlocal held, size
-            found, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            words = [(_hash(w), k) for w, k in counts.items() if k > 1]
-            keys = np.concatenate([found[n > 1], np.array([h for h, _ in words] + [0] * last, np.uint64)])
-            values = np.concatenate([n[n > 1], np.array([k for _, k in words] + [total] * last, np.int64)])
-            kinds = np.repeat(np.array([2, 1, 0], np.int8), [int((n > 1).sum()), len(words), int(last)])
+            ids = np.concatenate([np.zeros(0, np.int64), *held])
+            words = np.bincount(ids, minlength=1)
+            word = np.flatnonzero(words > 1)
+            found = np.zeros(0, np.uint64)
+            if width > 1:
+                found = np.concatenate([found, *map(sequences.raw, held)])
+            found, n = np.unique(found, return_counts=True)
+            keys = np.concatenate([found[n > 1], sequences.index.hashes[word], np.zeros(int(last), np.uint64)])
+            values = np.concatenate([n[n > 1], words[word], np.full(int(last), total)])
+            kinds = np.repeat(np.array([2, 1, 0], np.int8), [int((n > 1).sum()), len(word), int(last)])
             held, size = [], 0
-            counts.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys.view(np.int64)), pa.array(values)], names=["kind", "h", "n"])
+            sequences.renew()
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys.view(np.int64)), pa.array(values)], names=["kind", "h", "n"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
-                if len(words) < max(1, min_words):
-                    continue
-                total += len(words)
-                counts.update(words)
-                if width > 1:
-                    held.append(np.unique(sequences.raw(words)[0]))
-                    size += len(held[-1])
-                if size > 4_000_000 or len(counts) > 500_000:
-                    yield from out(False)
-        yield from out(True)
+                if len(words) >= max(1, min_words):
+                    total += len(words)
+                    size += len(words)
+                    held.append(sequences.ids(words))
+                    if size > 4_000_000:
+                        yield out(False)
+        yield out(True)
 
     counted = texts.select("text").mapInArrow(count, "kind tinyint, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
     least = F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 2, SEQUENCE_LEAST).otherwise(0)
@@ -180,11 +205,12 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
         words_known, listed, often = known.value
         sequences, seen = Sequences(width, words_known), set()
         for batch in batches:
-            sigs, cls, sizes, kinds = [], [], [], []
+            sigs, cls, sizes, kinds = [], [], [], []  # size is of use once a text, so all but kind 0 go without
             for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
                 if c in seen:
                     continue
                 seen.add(c)
+                sequences.renew()
                 words = words_of(text)
                 if len(words) < max(1, min_words):
                     continue
@@ -198,25 +224,28 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
                 for kind, own in enumerate((np.zeros(1, np.uint64), *signatures(total, weight, counts, threshold))):
                     sigs.append(own)
                     cls.append(np.full(len(own), c, np.int64))
-                    sizes.append(np.full(len(own), len(total), np.int32))
+                    sizes.append(np.full(len(own), len(total) if kind == 0 else 0, np.int32))
                     kinds.append(np.full(len(own), kind, np.int8))
             if sigs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (cls, sizes, kinds))], names=["sig", "cls", "size", "kind"])
 
     indexed = stage(texts.mapInArrow(index, "sig bigint, cls bigint, size int, kind tinyint"), "dup-index")
-    counted = indexed.filter("kind = 0").select("cls").distinct()
-    # A single is one of the rarest: its group is small, and the window sorts and spills. Pairs of frequent sequences may be
-    # hot: partial aggregates find the useful ones, and the join is split where it is skewed.
+    counted = indexed.filter("kind = 0").select("cls", "size").distinct()
+    # A single is one of the rarest: its group is small, and the window sorts and spills. What is made of frequent sequences
+    # may be hot: partial aggregates find the useful entries, and the join is split where it is skewed.
     by = W.partitionBy("sig")
-    single = indexed.filter("kind = 1").select("sig", "cls", "size").withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).filter("lo < hi").drop("lo", "hi")
-    pairs = indexed.filter("kind = 2").select("sig", "cls", "size")
-    useful = pairs.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("sig")
-    meeting = stage(single.unionByName(pairs.join(useful, "sig")).distinct(), "dup-meeting")
-    a = meeting.select("sig", F.col("cls").alias("cls_a"), F.col("size").alias("n_a"))
-    b = meeting.select("sig", F.col("cls").alias("cls_b"), F.col("size").alias("n_b"))
-    met = a.join(b, "sig").filter((F.col("cls_a") < F.col("cls_b")) & (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9))
-    candidates = met.groupBy("cls_a", "cls_b").agg(F.count("*").alias("hits"), F.min(F.least("n_a", "n_b")).alias("n")).filter(F.col("hits") >= 1 + F.floor(F.col("n") / 12)).select("cls_a", "cls_b")
+    single = indexed.filter("kind = 1").select("sig", "cls").withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).filter("lo < hi").select("sig", "cls")
+    hot = indexed.filter("kind = 2").select("sig", "cls")
+    useful = hot.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("sig")
+    meeting = stage(single.unionByName(hot.join(useful, "sig")).distinct(), "dup-meeting")
+    met = meeting.withColumnRenamed("cls", "cls_a").join(meeting.withColumnRenamed("cls", "cls_b"), "sig").filter("cls_a < cls_b").groupBy("cls_a", "cls_b").agg(F.count("*").alias("hits"))
+    size = counted.select("cls", "size")
+    near = F.least("n_a", "n_b")
+    candidates = (
+        met.join(size.toDF("cls_a", "n_a"), "cls_a").join(size.toDF("cls_b", "n_b"), "cls_b")
+        .filter((F.col("hits") >= 1 + F.floor(near / 24)) & (near >= threshold * F.greatest("n_a", "n_b") - 1e-9)).select("cls_a", "cls_b")
+    )
     candidates = stage(candidates, "dup-candidates")
     wanted = candidates.select(F.col("cls_a").alias("cls")).unionByName(candidates.select(F.col("cls_b").alias("cls"))).distinct()
     held = stage(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "dup-texts")
@@ -229,6 +258,7 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
             for side in "ab":
                 for c, text in zip(rows[f"cls_{side}"], rows[f"text_{side}"]):
                     if c not in sets:
+                        sequences.renew()
                         sets[c] = sequences.of(words_of(text))[0]
             out = []
             for ca, cb in zip(rows["cls_a"], rows["cls_b"]):
@@ -244,7 +274,7 @@ def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_t
     """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
     rows = df.filter(df[text_col].isNotNull()).select(df[id_col].alias("id"), F.xxhash64(text_col).alias("cls"), df[text_col].alias("text"))
     counted, alike = similar_classes(rows.select("cls", "text"), width, threshold, min_words)
-    members = rows.select("id", "cls").distinct().join(counted, "cls")
+    members = rows.select("id", "cls").distinct().join(counted.select("cls"), "cls")
     alike = alike.select("cls_a", "cls_b")
     across = alike.join(members.select(F.col("cls").alias("cls_a"), F.col("id").alias("a")), "cls_a").join(
         members.select(F.col("cls").alias("cls_b"), F.col("id").alias("b")), "cls_b").select("a", "b")
