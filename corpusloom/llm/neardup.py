@@ -2,8 +2,9 @@
 
 A record is the set of its token sequences (`width` words; 1 for titles). All sets are read in one global order:
 sequences with a rare word, then the others by the product of their words' frequencies, then those known to be frequent
-by their count. With threshold t a set of n misses at most n - ceil(t n) of its members in any partner. Its prefix
-holds `depth(n)` members more than that, so two partners share that many in their prefixes. A member of the rare class is indexed by
+by their count. With threshold t a set of n misses at most n - ceil(t n) of its members in any partner, and n - ceil(2 t / (1 + t) n)
+in a partner of its size or larger. Its probing and its indexing prefix hold `depth(n)` members more than that,
+so the smaller set's indexing prefix and the larger one's probing prefix share that many. A member of the rare class is indexed by
 itself; of the frequent class only pairs are, for which the prefix is extended by one. Two sets are candidates if they
 share `depth` index entries, which chance hardly gives; candidates are verified over their whole sets. The order
 decides only how much work there is: every statistic may be rough, the result stays exact, and nothing is capped.
@@ -117,29 +118,38 @@ def small(threshold: float) -> int:
     return n
 
 
+def _take(n: int, share: float) -> int:
+    return n - math.ceil(share * n - 1e-9) + depth(n)
+
+
 def signatures(total: np.ndarray, weight: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(rare, hot): what a set is indexed by. counts: of the listed members how often they stand, else 0.
+    """(entries, indexing): the index entries of a set, and whether each lies in its indexing prefix.
 
-    A small set, and any that may be the partner of one, is indexed by every member of its plain prefix.
+    counts: of the listed members how often they stand, else 0. A small set, and any that may be the partner of
+    one, is indexed by every member of its plain prefix.
     """
     n = len(total)
-    take = n - math.ceil(threshold * n - 1e-9) + depth(n)
+    takes = _take(n, 2 * threshold / (1 + threshold)), _take(n, threshold)
     order = np.lexsort((total, weight, counts))
-    plain = order[:take]
-    listed = counts[plain] > 0
-    if not listed.any():
-        return total[plain], total[:0]
-    hot = [total[plain[listed]]] if n * threshold <= small(threshold) else []
-    if n <= small(threshold):
-        return total[plain[~listed]], hot[0]
-    prefix = order[: take + BUCKETS]
-    two = total[prefix[counts[prefix] > 0]]
-    bucket = _mix(two) % np.uint64(BUCKETS)
+    rare = int((counts == 0).sum())
+    # The prefix with a listed member is longer by one a bucket.
+    short, long = (k if k <= rare or n <= small(threshold) else k + BUCKETS for k in takes)
+    plain = order[: takes[1]]
+    if takes[1] <= rare or n <= small(threshold):
+        return total[plain], np.arange(len(plain)) < short
+    single = order[: max(rare, takes[1]) if n * threshold <= small(threshold) else rare]
+    out, first = [total[single]], [np.arange(len(single)) < short]
+    two = order[rare:long]
+    early = np.arange(rare, rare + len(two)) < short
+    keys = total[two]
+    bucket = _mix(keys) % np.uint64(BUCKETS)
     for k in range(BUCKETS):
-        own = np.sort(two[bucket == k])
-        i, j = np.triu_indices(len(own), 1)
-        hot.append(_mix(own[i] * _STEP + own[j]))
-    return total[prefix[counts[prefix] == 0]], np.concatenate(hot)
+        of = np.flatnonzero(bucket == k)
+        of = of[np.argsort(keys[of])]
+        i, j = np.triu_indices(len(of), 1)
+        out.append(_mix(keys[of[i]] * _STEP + keys[of[j]]))
+        first.append(early[of[i]] & early[of[j]])
+    return np.concatenate(out), np.concatenate(first)
 
 
 def _shared(total_a: np.ndarray, total_b: np.ndarray) -> tuple[int, int]:
@@ -205,7 +215,7 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
         words_known, listed, often = known.value
         sequences, seen = Sequences(width, words_known), set()
         for batch in batches:
-            sigs, cls, sizes, kinds = [], [], [], []  # size is of use once a text, so all but kind 0 go without
+            sigs, cls, sizes = [], [], []
             for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
                 if c in seen:
                     continue
@@ -221,30 +231,30 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
                 if len(listed):
                     at = np.minimum(np.searchsorted(listed, total), len(listed) - 1)
                     counts = np.where(listed[at] == total, often[at], 0)
-                for kind, own in enumerate((np.zeros(1, np.uint64), *signatures(total, weight, counts, threshold))):
-                    sigs.append(own)
-                    cls.append(np.full(len(own), c, np.int64))
-                    sizes.append(np.full(len(own), len(total) if kind == 0 else 0, np.int32))
-                    kinds.append(np.full(len(own), kind, np.int8))
+                entries, indexing = signatures(total, weight, counts, threshold)
+                own = np.array([c], np.int64).view(np.uint64)
+                sigs += [own, entries]
+                cls.append(np.full(len(entries) + 1, c, np.int64))
+                sizes += [np.zeros(1, np.int32), np.where(indexing, len(total), -len(total)).astype(np.int32)]
             if sigs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (cls, sizes, kinds))], names=["sig", "cls", "size", "kind"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (cls, sizes))], names=["sig", "cls", "size"])
 
-    indexed = stage(texts.mapInArrow(index, "sig bigint, cls bigint, size int, kind tinyint"), "dup-index")
-    counted = indexed.filter("kind = 0").select("cls", "size").distinct()
-    # A single is one of the rarest: its group is small, and the window sorts and spills. What is made of frequent sequences
-    # may be hot: partial aggregates find the useful entries, and the join is split where it is skewed.
+    # size: 0 for the one row that says the class counts, the size of the set in its indexing prefix, its negative beyond.
+    indexed = texts.mapInArrow(index, "sig bigint, cls bigint, size int")
+    # The only shuffle of the index. Of an entry's group only its least and greatest class are kept in memory; the rows sort and spill.
     by = W.partitionBy("sig")
-    single = indexed.filter("kind = 1").select("sig", "cls").withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).filter("lo < hi").select("sig", "cls")
-    hot = indexed.filter("kind = 2").select("sig", "cls")
-    useful = hot.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("sig")
-    meeting = stage(single.unionByName(hot.join(useful, "sig")).distinct(), "dup-meeting")
-    met = meeting.withColumnRenamed("cls", "cls_a").join(meeting.withColumnRenamed("cls", "cls_b"), "sig").filter("cls_a < cls_b").groupBy("cls_a", "cls_b").agg(F.count("*").alias("hits"))
-    size = counted.select("cls", "size")
-    near = F.least("n_a", "n_b")
+    meeting = (
+        indexed.withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).withColumn("best", F.max("size").over(by))
+        .filter("size = 0 or lo < hi and best > 0").groupBy("sig", "cls").agg(F.max("size").alias("size"))
+    )
+    meeting = stage(meeting, "dup-meeting")
+    counted = meeting.filter("size = 0").select("cls").distinct()
+    left = meeting.filter("size > 0").select("sig", F.col("cls").alias("cls_a"), F.col("size").alias("n_a"))
+    right = meeting.filter("size <> 0").select("sig", F.col("cls").alias("cls_b"), F.abs("size").alias("n_b"))
+    met = left.join(right, "sig").filter((F.col("cls_a") != F.col("cls_b")) & (F.col("n_a") <= F.col("n_b")) & (F.col("n_a") >= threshold * F.col("n_b") - 1e-9))
     candidates = (
-        met.join(size.toDF("cls_a", "n_a"), "cls_a").join(size.toDF("cls_b", "n_b"), "cls_b")
-        .filter((F.col("hits") >= 1 + F.floor(near / 24)) & (near >= threshold * F.greatest("n_a", "n_b") - 1e-9)).select("cls_a", "cls_b")
+        met.groupBy("cls_a", "cls_b").agg(F.count("*").alias("hits"), F.min("n_a").alias("n")).filter(F.col("hits") >= 1 + F.floor(F.col("n") / 24))
+        .select(F.least("cls_a", "cls_b").alias("cls_a"), F.greatest("cls_a", "cls_b").alias("cls_b")).distinct()
     )
     candidates = stage(candidates, "dup-candidates")
     wanted = candidates.select(F.col("cls_a").alias("cls")).unionByName(candidates.select(F.col("cls_b").alias("cls"))).distinct()
@@ -274,7 +284,7 @@ def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_t
     """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
     rows = df.filter(df[text_col].isNotNull()).select(df[id_col].alias("id"), F.xxhash64(text_col).alias("cls"), df[text_col].alias("text"))
     counted, alike = similar_classes(rows.select("cls", "text"), width, threshold, min_words)
-    members = rows.select("id", "cls").distinct().join(counted.select("cls"), "cls")
+    members = rows.select("id", "cls").distinct().join(counted, "cls")
     alike = alike.select("cls_a", "cls_b")
     across = alike.join(members.select(F.col("cls").alias("cls_a"), F.col("id").alias("a")), "cls_a").join(
         members.select(F.col("cls").alias("cls_b"), F.col("id").alias("b")), "cls_b").select("a", "b")
