@@ -197,8 +197,9 @@ def frequencies(texts: DataFrame, width: int, min_words: int) -> tuple[dict[int,
 
     counted = texts.select("text").mapInArrow(count, "kind tinyint, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
     least = F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 2, SEQUENCE_LEAST).otherwise(0)
-    rank = F.row_number().over(W.partitionBy("kind").orderBy(F.desc("n"), "h"))
-    top = counted.filter(F.col("n") >= least).withColumn("rank", rank).filter(F.col("rank") <= LISTED).select("kind", "h", "n").toArrow()
+    counted = stage(counted.filter(F.col("n") >= least), "dup-counts")
+    parts = [counted.filter(F.col("kind") == k).orderBy(F.desc("n"), "h").limit(LISTED) for k in range(3)]
+    top = parts[0].unionByName(parts[1]).unionByName(parts[2]).toArrow()
     kind, h, n = (top.column(c).to_numpy() for c in ("kind", "h", "n"))
     total = max(1, int(n[kind == 0].sum()))
     words = {a % (1 << 64): math.log(b / total) for a, b in zip(h[kind == 1].tolist(), n[kind == 1].tolist()) if b >= total * WORD_SHARE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, packing, spans, split
+from . import bpe, language, mojibake, neardup, packing, spans, split
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,26 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.dropDuplicates(["doc_id", "chunk_idx", "version", "piece_idx"])
 
 
+def _language_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full, refs = _t(spark, sf_dir, "full_texts"), _t(spark, sf_dir, "lang_refs")
+    texts = full.select("doc_id", F.lit(-1).alias("chunk_idx"), F.col("full_text").alias("text")).unionByName(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text"))
+    samples = [r["sample"] for r in refs.select("sample").collect() if r["sample"]]
+    repair = mojibake.Shared(spark, mojibake.train(full, samples, "full_text"))
+    return language.segments(texts, refs, "text", repair=repair, alphabet=mojibake.clean_alphabet(samples))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full, refs = _t(spark, sf_dir, "full_texts"), _t(spark, sf_dir, "lang_refs")
+    runs = _language_segments(spark, sf_dir).filter((F.col("end") - F.col("start") >= language.LEAST_RUN) & (F.col("confidence") >= language.LEAST_CONFIDENCE))
+    labels = full.select("doc_id", language.named(F.col("lang"), refs).alias("named")).distinct()
+    return runs.select("doc_id", "chunk_idx", F.col("language").alias("lang")).distinct().join(labels, "doc_id").filter(~F.col("lang").eqNullSafe(F.col("named"))).select("doc_id", "chunk_idx", "lang").distinct()
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of every text with its language and confidence."""
+    return _language_segments(spark, sf_dir).distinct()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = neardup.similar_pairs(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"), text_col="full_text", width=5, threshold=0.5, min_words=100)
     titles = neardup.similar_pairs(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
@@ -37,6 +57,18 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(p4_found(spark, sf_dir).select("doc_a", "doc_b").distinct()).withColumnRenamed("id", "doc_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    return mojibake.restore(full, _t(spark, sf_dir, "lang_refs"), keep_text=False).filter("garbled").select("doc_id").distinct()
+
+
+def p5_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The garbled records with their text restored as far as it can be."""
+    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    found = mojibake.restore(full, _t(spark, sf_dir, "lang_refs")).filter("garbled")
+    return found.select("doc_id", "chains", "words_changed", "restored").distinct()
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
@@ -60,7 +92,7 @@ def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (p1_found, p1_pieces, p4_found, p4_groups, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
+    q.__name__: q for q in (p1_found, p1_pieces, p3_found, p3_segments, p4_found, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
 }
 
 ORACLE: dict[str, str] = {
