@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mojibake, neardup, packing, spans, split
+from . import bpe, language, mojibake, neardup, packing, scan, spans, split
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,25 @@ def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.dropDuplicates(["doc_id", "chunk_idx", "version", "piece_idx"])
 
 
+def _samples(spark: SparkSession, sf_dir: str) -> list[str]:
+    return [r["sample"] for r in _t(spark, sf_dir, "lang_refs").select("sample").collect() if r["sample"]]
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    return scan.clean(full, samples=_samples(spark, sf_dir), with_text=False).filter("noisy").select("doc_id").distinct()
+
+
+def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The noisy records as continuous paragraphs."""
+    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    return scan.clean(full, samples=_samples(spark, sf_dir)).filter("noisy").select("doc_id", "evidence", "paragraphs").distinct()
+
+
 def _language_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     full, refs = _t(spark, sf_dir, "full_texts"), _t(spark, sf_dir, "lang_refs")
     texts = full.select("doc_id", F.lit(-1).alias("chunk_idx"), F.col("full_text").alias("text")).unionByName(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text"))
-    samples = [r["sample"] for r in refs.select("sample").collect() if r["sample"]]
+    samples = _samples(spark, sf_dir)
     repair = mojibake.Shared(spark, mojibake.train(full, samples, "full_text"))
     return language.segments(texts, refs, "text", repair=repair, alphabet=mojibake.clean_alphabet(samples))
 
@@ -92,7 +107,7 @@ def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (p1_found, p1_pieces, p3_found, p3_segments, p4_found, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
+    q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
 }
 
 ORACLE: dict[str, str] = {
