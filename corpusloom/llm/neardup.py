@@ -30,6 +30,8 @@ from pyspark.sql import Window as W
 
 from corpusloom.sources.staging import stage
 
+from .copies import expand
+
 WORDS = regex.compile(r"\p{L}{3,}")
 #: A word is frequent if it makes up this share of all words and stands so often; a sequence, if it stands so often and is one of the LISTED most frequent.
 WORD_SHARE, WORD_LEAST, SEQUENCE_LEAST, LISTED = 2.0**-17, 200, 32, 1 << 18
@@ -285,12 +287,7 @@ def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_t
     """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
     rows = df.filter(df[text_col].isNotNull()).select(df[id_col].alias("id"), F.xxhash64(text_col).alias("cls"), df[text_col].alias("text"))
     counted, alike = similar_classes(rows.select("cls", "text"), width, threshold, min_words)
-    members = rows.select("id", "cls").distinct().join(counted, "cls")
-    alike = alike.select("cls_a", "cls_b")
-    across = alike.join(members.select(F.col("cls").alias("cls_a"), F.col("id").alias("a")), "cls_a").join(
-        members.select(F.col("cls").alias("cls_b"), F.col("id").alias("b")), "cls_b").select("a", "b")
-    copies = members.select("cls", F.col("id").alias("a")).join(members.select("cls", F.col("id").alias("b")), "cls").filter("a < b").select("a", "b")
-    return across.unionByName(copies).filter("a <> b").select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
+    return expand(rows.select("id", "cls").distinct().join(counted, "cls"), alike)
 
 
 def components(edges: DataFrame, a: str = "doc_a", b: str = "doc_b") -> DataFrame:

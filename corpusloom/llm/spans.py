@@ -23,6 +23,8 @@ from pyspark.sql import Window as W
 
 from corpusloom.sources.staging import stage
 
+from .copies import expand
+
 SPAN, UNIT = 240, 120
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -79,7 +81,7 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def units(text: str, span: int = SPAN, unit: int = UNIT) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) of the units picked in a text. Of units that repeat and overlap only the first and last of a run stay."""
+    """(hashes, positions) of the units picked in a text. Of a run of equal units that overlap the first, the last and one in every `span - unit` places stay."""
     if len(text) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -89,9 +91,12 @@ def units(text: str, span: int = SPAN, unit: int = UNIT) -> tuple[np.ndarray, np
     if len(np.unique(picked)) < len(picked):
         order = np.lexsort((at, picked))
         h, p = picked[order], at[order]
-        close = (h[1:] == h[:-1]) & (p[1:] - p[:-1] <= unit)
-        inner = np.concatenate([[False], close]) & np.concatenate([close, [False]])
-        picked, at = h[~inner], p[~inner]
+        close = np.concatenate([[False], (h[1:] == h[:-1]) & (p[1:] - p[:-1] <= unit)])
+        start = p[np.maximum.accumulate(np.where(close, 0, np.arange(len(p))))]
+        step = (p - start) // (span - unit)
+        last = np.concatenate([~close[1:], [True]])
+        keep = ~close | last | np.concatenate([[True], step[1:] != step[:-1]])
+        picked, at = h[keep], p[keep]
     return picked.view(np.int64), at
 
 
@@ -161,12 +166,7 @@ def span_matches(df: DataFrame, text_col: str = "text", span: int = SPAN, unit:
 
 def shared_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, unit: int = UNIT) -> DataFrame:
     """(doc_a, doc_b), doc_a < doc_b: records with a span in common, copies included."""
-    members = classes(df, id_col, text_col, span).select("id", "cls").distinct()
-    meet = span_matches(df, text_col, span, unit).select("cls_a", "cls_b").distinct()
-    across = meet.join(members.select(F.col("cls").alias("cls_a"), F.col("id").alias("a")), "cls_a").join(
-        members.select(F.col("cls").alias("cls_b"), F.col("id").alias("b")), "cls_b").select("a", "b")
-    copies = members.select("cls", F.col("id").alias("a")).join(members.select("cls", F.col("id").alias("b")), "cls").filter("a < b").select("a", "b")
-    return across.unionByName(copies).filter("a <> b").select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
+    return expand(classes(df, id_col, text_col, span), span_matches(df, text_col, span, unit).select("cls_a", "cls_b").distinct())
 
 
 def shared_share(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, unit: int = UNIT) -> DataFrame:
