@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -19,34 +18,27 @@ def _common(masks: dict[str, int], size: int, text: str) -> int:
 
 
 def _slide(short: str, long: str, cutoff: float) -> float:
+    """Windows of the pattern's size, and shorter ones at either end, in the order of what their letters alone allow."""
     m, n = len(short), len(long)
+    codes = np.frombuffer(long.encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.arange(1, n + m)
+    starts, ends = np.maximum(ends - m, 0), np.minimum(ends, n)
+    shared = np.zeros(len(ends), np.int64)
+    seen = np.zeros(n + 1, np.int64)
     masks: dict[str, int] = {}
     for i, c in enumerate(short):
         masks[c] = masks.get(c, 0) | 1 << i
-    share = cutoff / 100
-    least = m * share / (2 - share)  # common characters any window of the wanted score has
-    need = Counter(short)
-    held: Counter[str] = Counter()
-    overlap, best = 0, 0.0
-    # Windows of the pattern's size, and shorter ones at either end.
-    for end in range(1, n + m):
-        if end <= n:
-            c = long[end - 1]
-            held[c] += 1
-            overlap += held[c] <= need[c]
-        start = end - m
-        if start > 0:
-            c = long[start - 1]
-            overlap -= held[c] <= need[c]
-            held[c] -= 1
-        if overlap >= least and overlap * 2 > best / 100 * (m + 1):
-            window = long[max(0, start) : end]
-            score = 200.0 * _common(masks, m, window) / (m + len(window))
-            if score > best:
-                best = score
-                if best == 100.0:
-                    return best
-    return best
+    for c, mask in masks.items():
+        np.cumsum(codes == ord(c), out=seen[1:])
+        shared += np.minimum(seen[ends] - seen[starts], mask.bit_count())
+    bound = 200.0 * shared / (m + ends - starts)
+    best = 0.0
+    for i in np.argsort(-bound, kind="stable").tolist():
+        if bound[i] <= best or bound[i] < cutoff:
+            break
+        a, b = starts[i], ends[i]
+        best = max(best, 200.0 * _common(masks, m, long[a:b]) / (m + b - a))
+    return float(best)
 
 
 def partial_ratio(a: str | None, b: str | None, cutoff: float = 0.0) -> float | None:
@@ -58,6 +50,8 @@ def partial_ratio(a: str | None, b: str | None, cutoff: float = 0.0) -> float |
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if short in long:
         return 100.0
+    if cutoff >= 100:
+        return 0.0
     best = _slide(short, long, cutoff)
     if len(a) == len(b):
         best = max(best, _slide(long, short, cutoff))
