@@ -132,7 +132,9 @@ def signatures(total: np.ndarray, weight: np.ndarray, counts: np.ndarray, thresh
     """
     n = len(total)
     takes = _take(n, 2 * threshold / (1 + threshold)), _take(n, threshold)
-    order = np.lexsort((total, weight, counts))
+    # One number a member gives the order: listed or not, how frequent, then its hash; `total` comes sorted, so ties keep to it.
+    level = np.where(counts > 0, 1 << 15 | np.minimum(np.log2(np.maximum(counts, 1)) * 512, 32767).astype(np.int64), 32767 + np.maximum(np.where(np.isneginf(weight), -32767, weight * 256), -32767).astype(np.int64))
+    order = np.argsort(level.astype(np.uint64) << np.uint64(48) | total >> np.uint64(16), kind="stable")
     rare = int((counts == 0).sum())
     # The prefix with a listed member is longer by one a bucket.
     short, long = (k if k <= rare or n <= small(threshold) else k + BUCKETS for k in takes)
