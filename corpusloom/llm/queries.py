@@ -14,14 +14,20 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table of fewer splits than there are cores is dealt out, so that Python work isn't done by one task; a large table stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chunks = _t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text")
+    chunks = _spread(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text"))
     return split.split_oversized(chunks).filter("n_pieces > 1").select("doc_id", "chunk_idx").distinct()
 
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every chunk text; a key written again with another text keeps each version, under the digest of the text."""
-    chunks = _t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text", F.xxhash64("text").alias("version"))
+    chunks = _spread(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text")).withColumn("version", F.xxhash64("text"))
     pieces = split.split_oversized(chunks).select("doc_id", "chunk_idx", "version", "piece_idx", "start", "end", "piece", "n_pieces")
     return pieces.dropDuplicates(["doc_id", "chunk_idx", "version", "piece_idx"])
 
@@ -31,21 +37,21 @@ def _samples(spark: SparkSession, sf_dir: str) -> list[str]:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    full = _spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"))
     return scan.clean(full, samples=_samples(spark, sf_dir), with_text=False).filter("noisy").select("doc_id").distinct()
 
 
 def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The noisy records as continuous paragraphs."""
-    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    full = _spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"))
     return scan.clean(full, samples=_samples(spark, sf_dir)).filter("noisy").select("doc_id", "evidence", "paragraphs").distinct()
 
 
 def _language_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     full, refs = _t(spark, sf_dir, "full_texts"), _t(spark, sf_dir, "lang_refs")
-    texts = full.select("doc_id", F.lit(-1).alias("chunk_idx"), F.col("full_text").alias("text")).unionByName(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text"))
+    texts = _spread(full.select("doc_id", F.lit(-1).alias("chunk_idx"), F.col("full_text").alias("text")).unionByName(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text")))
     samples = _samples(spark, sf_dir)
-    repair = mojibake.Shared(spark, mojibake.train(full, samples, "full_text"))
+    repair = mojibake.Shared(spark, mojibake.train(_spread(full.select("full_text")), samples, "full_text"))
     return language.segments(texts, refs, "text", repair=repair, alphabet=mojibake.clean_alphabet(samples))
 
 
@@ -62,7 +68,7 @@ def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = neardup.similar_pairs(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"), text_col="full_text", width=5, threshold=0.5, min_words=100)
+    texts = neardup.similar_pairs(_spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text")), text_col="full_text", width=5, threshold=0.5, min_words=100)
     titles = neardup.similar_pairs(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
     return texts.select(F.lit("full_text").alias("field"), "doc_a", "doc_b").unionByName(titles.select(F.lit("title").alias("field"), "doc_a", "doc_b"))
 
@@ -73,33 +79,33 @@ def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    full = _spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"))
     return mojibake.restore(full, _t(spark, sf_dir, "lang_refs"), keep_text=False).filter("garbled").select("doc_id").distinct()
 
 
 def p5_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The garbled records with their text restored as far as it can be."""
-    full = _t(spark, sf_dir, "full_texts").select("doc_id", "full_text")
+    full = _spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"))
     found = mojibake.restore(full, _t(spark, sf_dir, "lang_refs")).filter("garbled")
     return found.select("doc_id", "chains", "words_changed", "restored").distinct()
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(_t(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    return bpe.encode(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", "ids")
 
 
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    sized = bpe.count_tokens(docs).select("doc_id", "n_tokens")
+    sized = bpe.count_tokens(_spread(docs)).select("doc_id", "n_tokens")
     return packing.pack(sized, n_items=docs.count())
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_pairs(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.shared_pairs(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def p8_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_share(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spans.shared_share(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
