@@ -4,7 +4,9 @@
 may start and end inside a line, which line digests can't see; `shared_spans` therefore digests units picked by content:
 of every run of `span - unit + 1` neighbouring windows of `unit` characters the one with the least hash. Any
 span of at least `span` characters holds a whole such run, so both records pick the same unit in it. The digests are
-grouped globally, and records that meet are compared along the diagonal on which they meet, character by character.
+grouped globally, and records that meet are compared along the diagonal on which they meet, character by character. A
+unit that stands in very many texts (a boilerplate line too short to be a span) is first replaced by the windows of `span`
+characters around it, so that texts meet only if they share one of those: work grows with the occurrences, not with their square.
 
 Defined results: null, empty and short texts have no span; copies of one text are compared once and
 meet over their whole length; a span repeated inside one record alone doesn't count; columns beside id and text are ignored.
@@ -26,6 +28,8 @@ from corpusloom.sources.staging import stage
 from .copies import expand
 
 SPAN, UNIT = 240, 120
+#: A unit in more texts than this is looked at together with its surroundings before any two texts are paired.
+HOT = 64
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -140,6 +144,26 @@ def span_matches(df: DataFrame, text_col: str = "text", span: int = SPAN, unit:
     # A digest is of use if two different texts hold it. Partial aggregates and a join keep a hot digest spread.
     shared = picked.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("h")
     meeting = stage(picked.join(shared, "h").distinct(), "span-units")
+    many = meeting.groupBy("h").agg(F.countDistinct("cls").alias("n")).filter(F.col("n") > HOT).select("h")
+    around = meeting.join(many, "h").select("cls", "pos").groupBy("cls").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+
+    def widen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            out_h, out_c, out_p = [], [], []
+            for c, at, text in zip(rows["cls"], rows["at"], rows["text"]):
+                codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+                hashes = window_hashes(codes, span).view(np.int64)
+                starts = np.unique((np.asarray(at)[:, None] - np.arange(span - unit + 1)).ravel())
+                starts = starts[(starts >= 0) & (starts < len(hashes))]
+                out_h.append(hashes[starts])
+                out_p.append(starts)
+                out_c.append(np.full(len(starts), c, np.int64))
+            yield pd.DataFrame({"h": np.concatenate([*out_h, np.zeros(0, np.int64)]), "cls": np.concatenate([*out_c, np.zeros(0, np.int64)]), "pos": np.concatenate([*out_p, np.zeros(0, np.int64)])})
+
+    one_each = texts.join(around.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text"))
+    windows = stage(around.join(one_each, "cls").mapInPandas(widen, "h bigint, cls bigint, pos int"), "span-windows")
+    spanning = windows.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("h")
+    meeting = stage(meeting.join(many, "h", "left_anti").unionByName(windows.join(spanning, "h")), "span-meeting")
     left = meeting.select("h", F.col("cls").alias("cls_a"), F.col("pos").alias("pos_a"))
     right = meeting.select("h", F.col("cls").alias("cls_b"), F.col("pos").alias("pos_b"))
     diagonals = (

@@ -26,6 +26,18 @@ def test_pairs_agree_with_brute_force(spark):
         assert got == brute(docs, 40)
 
 
+def test_hot_units_agree_with_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spans, "HOT", 3)
+    rng = random.Random(4)
+    short, long = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (30, 45))
+    fill = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 50)))
+    docs = [(i, fill() + (short if i % 3 else long) + fill()) for i in range(60)] + [(60, "z" + short + "abcdefgha"), (61, "z" + short + "abcdefgha" + "b")]
+    docs += made(rng, 20)[:0]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = sorted((r["doc_a"], r["doc_b"]) for r in spans.shared_pairs(df, span=40, unit=16).collect())
+    assert got == brute(docs, 40) and len(got) == 191
+
+
 def test_share_agrees_with_brute_force(spark):
     docs = made(random.Random(9))
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
