@@ -47,16 +47,6 @@ CONFUSIONS = (
 BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _read, _printed in CONFUSIONS:
     BY_FIRST.setdefault(_read[0], []).append((_read, _printed))
-# Of each confusable group all members have one skeleton: a cheap key for words that may be misread as each other.
-_LATIN = str.maketrans({"0": "o", "O": "o", "1": "l", "i": "l", "I": "l", "|": "l", "t": "l", "f": "l", "5": "s", "S": "s", "6": "b", "9": "g", "8": "b", "B": "b", "@": "o", "a": "o", "4": "o", "A": "o", "3": "c", "e": "c", "m": "rn", "h": "ll", "u": "ll", "d": "cl", "w": "vv"})
-_CYRILLIC = str.maketrans({"0": "о", "O": "о", "О": "о", "o": "о", "6": "б", "3": "з", "З": "з", "4": "ч", "n": "и", "H": "и", "m": "т", "b": "ь", "u": "и", "p": "р", "c": "с", "a": "а", "e": "с", "x": "х", "y": "у", "B": "в", "T": "т", "K": "к", "M": "м", "r": "г", "g": "д", "щ": "ш", "н": "и", "п": "и", "ы": "ь", "е": "с", "ц": "и", "@": "а"})
-_HAS_CYRILLIC = re.compile("[а-яёА-ЯЁ]")
-
-
-def skeleton(word: str) -> str:
-    if not word.isascii() and _HAS_CYRILLIC.search(word):
-        return word.translate(_CYRILLIC)
-    return word.translate(_LATIN).replace("nn", "rn").replace("ln", "rn").replace("rl", "n")
 
 
 _TOKEN = re.compile(r"(?<![\[\w@|])[\w@|]*[^\W\d_][\w@|]*(?![\]\w@|])")
@@ -94,17 +84,16 @@ def edges(lines: list[str]) -> list[bool]:
 
 
 class Lexicon:
-    """The corpus's words with their counts, a trie of them (as a set of prefixes), and the most frequent word of each skeleton."""
+    """The corpus's words with their counts and a trie of them: the prefixes, each with the count of the most frequent word under it."""
 
     def __init__(self, counts: dict[str, int], total: int, headers: frozenset[str]) -> None:
         self.counts, self.total, self.headers = counts, max(total, 1), headers
         self.log_total = math.log(self.total)
-        self.prefixes: set[str] = set()
-        self.of: dict[str, str] = {}
+        self.prefixes: dict[str, int] = {}
         for word, n in sorted(counts.items(), key=lambda x: (x[1], x[0])):
-            self.of[skeleton(word)] = word
             for k in range(1, len(word) + 1):
-                self.prefixes.add(word[:k])
+                self.prefixes[word[:k]] = n
+        self.most = max(counts.values(), default=0)
         self.known: dict[str, tuple[str, int] | None] = {}
         self.breaks: dict[str, tuple[str, int]] = {}
 
@@ -172,18 +161,39 @@ class Lexicon:
             i = before
         return "".join(reversed(parts)), used, best[n][0]
 
+    def reading(self, token: str, least: float = 1) -> tuple[str, int, float] | None:
+        """(word, confusions, cost) of the cheapest word that stands `least` times and may be misread as the token, else null."""
+        n, counts, prefixes, best = len(token), self.counts, self.prefixes, None
+        if least > self.most:
+            return None
+        todo = [(0, "", 0)]
+        while todo:
+            j, prefix, used = todo.pop()
+            if j == n:
+                m = counts.get(prefix, 0)
+                if used and m >= least and prefix != token:
+                    found = (4.0 * used + self.log_total - math.log(m), prefix, used)
+                    best = found if best is None else min(best, found)
+                continue
+            if prefixes.get(prefix + token[j], 0) >= least:
+                todo.append((j + 1, prefix + token[j], used))
+            if used < 3:
+                for read, printed in BY_FIRST.get(token[j], ()):
+                    if token.startswith(read, j) and prefixes.get(prefix + printed, 0) >= least:
+                        todo.append((j + len(read), prefix + printed, used + 1))
+        return best and (best[1], best[2], best[0])
+
     def fix(self, token: str) -> tuple[str, int] | None:
         """(word as printed, confusions) of a misread token, else null."""
         if token in self.known:
             return self.known[token]
         found = None
-        word = self.of.get(skeleton(token))
-        if word is not None and word != token and len(token) > 2:
-            n, m = self.counts.get(token, 0), self.counts[word]
-            if m >= 40 * max(1, n) and m >= 2e-5 * self.total:
-                text, used, _ = self.decode(token) if not n else self._without(token)
-                if text == word and used["confusion"] and used["confusion"] == used.total():
-                    found = (text, used["confusion"])
+        if len(token) > 2:
+            n = self.counts.get(token, 0)
+            read = self.reading(token, max(40 * max(1, n), 2e-5 * self.total))
+            # Where another reading is cheaper (an unknown word, words run together, a rarer word), the token stays.
+            if read is not None and read[2] <= (self.decode(token) if not n else self._without(token))[2] + 1e-9:
+                found = read[:2]
         if len(self.known) > 400_000:
             self.known.clear()
         self.known[token] = found
@@ -202,7 +212,7 @@ class Lexicon:
         key = f"{left}{hyphen}\n{right}"
         found = self.breaks.get(key)
         if found is None:
-            if left[0].isupper() and left.isalpha() and right.isalpha() and left + right not in self.counts and self.counts.get(left, 0) < 50 and self.counts.get(right, 0) < 50 and self.of.get(skeleton(left + right)) is None:
+            if left[0].isupper() and left.isalpha() and right.isalpha() and left + right not in self.counts and self.counts.get(left, 0) < 50 and self.counts.get(right, 0) < 50 and self.reading(left + right) is None:
                 found = (left + right, 1, 0)  # a name: no reading of it is in the trie
             else:
                 text, used, _ = self.decode(key)

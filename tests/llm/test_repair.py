@@ -136,6 +136,17 @@ def test_noise_is_found_and_taken_out(refs):
     assert lex.fix(word.replace("m", "rn", 1)) == (word, 1) and lex.fix(word) is None and lex.fix("Zqm66l3O") is None
 
 
+def test_every_listed_confusion_is_looked_up():
+    words = {"white": 500, "field": 900, "ficld": 1, "under": 500, "spine": 500, "hind": 500, "found": 900, "fauna": 400, "head": 500, "margin": 500, "spinneret": 500}
+    lex = scan.Lexicon(words, 10_000, frozenset())
+    read = {"whife": "white", "fielcl": "field", "ficld": "field", "urider": "under", "spirie": "spine", "bind": "hind", "fouud": "found", "fonnd": "found", "bead": "head", "margiri": "margin", "spirineret": "spinneret", "fauua": "fauna"}
+    assert {t: lex.fix(t) and lex.fix(t)[0] for t in read} == read
+    assert all(lex.fix(w) is None for w in ("white", "zebra", "Hind7", "found"))
+    for a, b in scan.CONFUSIONS:
+        word = f"zqzq{b}zqzq"
+        assert scan.Lexicon({word: 500, f"zqzq{b}qzqz": 900}, 10_000, frozenset()).fix(f"zqzq{a}zqzq") == (word, 1)
+
+
 def test_compounds_keep_their_hyphen(refs):
     lex = scan.Lexicon({"wing": 500, "shaped": 500, "yellow": 500, "brown": 500, "individuals": 500}, 10_000, frozenset())
     assert lex.join("wing", "-", "shaped") == ("wing-shaped", 0, 0) and lex.join("indivi", "\xad", "duals") == ("individuals", 1, 0)
