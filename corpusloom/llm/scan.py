@@ -313,7 +313,7 @@ def _together(a: str, b: str, gap: bool, width: int) -> float:
 
 
 def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, frozenset[str]]:
-    """(word counts, number of words, header lines) of all texts. A task sends what it met at least twice; a bounded number comes back."""
+    """(word counts, number of words, header lines) of all texts. Every word and line is summed over all tasks before any is left out; a bounded number comes back."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[str] = Counter()
@@ -322,8 +322,8 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
         total = 0
 
         def out(last: bool) -> pa.RecordBatch:
-            rows = [("w", w, n, 0) for w, n in words.items() if n > 1]
-            rows += [("l", k, inside[k], edge[k]) for k in inside.keys() | edge.keys() if inside[k] + edge[k] > 1]
+            rows = [("w", w, n, 0) for w, n in words.items()]
+            rows += [("l", k, inside[k], edge[k]) for k in inside.keys() | edge.keys()]
             rows += [("t", "", total, 0)] * last
             for c in (words, inside, edge):
                 c.clear()
