@@ -44,6 +44,8 @@ CONFUSIONS = (
     ("0", "о"), ("0", "О"), ("6", "б"), ("3", "з"), ("3", "З"), ("4", "ч"), ("n", "и"), ("n", "п"), ("H", "н"), ("m", "т"), ("b", "ь"), ("u", "и"), ("p", "р"), ("c", "с"), ("a", "а"), ("e", "е"), ("o", "о"), ("x", "х"), ("y", "у"),
     ("B", "в"), ("T", "т"), ("K", "к"), ("M", "м"), ("r", "г"), ("g", "д"), ("ш", "щ"), ("щ", "ш"), ("н", "и"), ("и", "н"), ("п", "н"), ("ь", "ы"), ("с", "е"), ("е", "с"), ("ц", "и"), ("@", "а"), ("|", "і"), ("ii", "п"), ("и", "п"),
 )
+# What an operation of the decoder costs, in nats.
+PRICES = {"split": 7.0, "confusion": 4.0, "hyphen": 1.0, "merge": 6.0}
 BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _read, _printed in CONFUSIONS:
     BY_FIRST.setdefault(_read[0], []).append((_read, _printed))
@@ -96,9 +98,15 @@ class Lexicon:
         self.most = max(counts.values(), default=0)
         self.known: dict[str, tuple[str, int] | None] = {}
         self.breaks: dict[str, tuple[str, int]] = {}
+        self.stretches: dict[str, tuple[str, int]] = {}
 
     def decode(self, stream: str) -> tuple[str, Counter[str], float]:
         """(text, operations used, cost) of the cheapest reading of a stream."""
+        parts, cost = self.path(stream)
+        return "".join(out for _, _, out, _ in parts), Counter(op for *_, ops in parts for op in ops), cost
+
+    def path(self, stream: str) -> tuple[list[tuple[int, int, str, tuple[str, ...]]], float]:
+        """The cheapest reading of a stream in its parts, (from, to, text, operations used), and its cost."""
         n, counts, prefixes = len(stream), self.counts, self.prefixes
         best: list[tuple[float, int, str, tuple[str, ...]] | None] = [None] * (n + 1)
         best[0] = (0.0, -1, "", ())
@@ -112,12 +120,12 @@ class Lexicon:
                 continue
             base, c = best[i][0], stream[i]
             if c.isspace():
-                reach(i + 1, base, i, " ", ())
+                reach(i + 1, base, i, c, ())
                 continue
             if not (c.isalnum() or c in "@|"):
                 reach(i + 1, base + 2.0, i, c, ())
             if i and not stream[i - 1].isspace() and (stream[i - 1].isalnum()):
-                base += 7.0  # a word that begins without a blank
+                base += PRICES["split"]  # a word that begins without a blank
                 start: tuple[str, ...] = ("split",)
             else:
                 start = ()
@@ -135,12 +143,12 @@ class Lexicon:
                 if len(ops) < 3:
                     for read, printed in BY_FIRST.get(d, ()):
                         if stream.startswith(read, j) and prefix + printed in prefixes:
-                            todo.append((j + len(read), prefix + printed, cost + 4.0, (*ops, "confusion"), True))
+                            todo.append((j + len(read), prefix + printed, cost + PRICES["confusion"], (*ops, "confusion"), True))
                     if whole:
                         if d in "-\xad‐¬" and stream[j + 1 : j + 2] == "\n":
-                            todo.append((j + 2, prefix, cost + 1.0, (*ops, "hyphen"), False))
-                        elif d == " " and "merge" not in ops:
-                            todo.append((j + 1, prefix, cost + 6.0, (*ops, "merge"), False))
+                            todo.append((j + 2, prefix, cost + PRICES["hyphen"], (*ops, "hyphen"), False))
+                        elif d in " \n" and "merge" not in ops:
+                            todo.append((j + 1, prefix, cost + PRICES["merge"], (*ops, "merge"), False))
             # An unknown word, whole or broken at a line's end.
             j, out, cost, ops = i, "", 12.0, start
             while j < n:
@@ -153,13 +161,12 @@ class Lexicon:
                     break
             if out:
                 reach(j, base + cost, i, out, ops)
-        parts, used, i = [], Counter(), n
+        parts, i = [], n
         while i > 0:
             _, before, out, ops = best[i]  # every position before the end of a run of characters is reached
-            parts.append(out)
-            used.update(ops)
+            parts.append((before, i, out, ops))
             i = before
-        return "".join(reversed(parts)), used, best[n][0]
+        return parts[::-1], best[n][0]
 
     def reading(self, token: str, least: float = 1) -> tuple[str, int, float] | None:
         """(word, confusions, cost) of the cheapest word that stands `least` times and may be misread as the token, else null."""
@@ -172,7 +179,7 @@ class Lexicon:
             if j == n:
                 m = counts.get(prefix, 0)
                 if used and m >= least and prefix != token:
-                    found = (4.0 * used + self.log_total - math.log(m), prefix, used)
+                    found = (PRICES["confusion"] * used + self.log_total - math.log(m), prefix, used)
                     best = found if best is None else min(best, found)
                 continue
             if prefixes.get(prefix + token[j], 0) >= least:
@@ -222,6 +229,71 @@ class Lexicon:
             self.breaks[key] = found
         return found
 
+    def price(self, token: str) -> float:
+        """What a token costs as it stands."""
+        n = self.counts.get(token)
+        return 12.0 + 2.2 * len(token) if n is None else self.log_total - math.log(n)
+
+    def doubtful(self, token: str) -> bool:
+        return token not in self.counts and sum(map(str.isalpha, token)) > 1
+
+    def stretch(self, stream: str) -> tuple[str, int]:
+        """(text, evidence) of tokens beside each other: words with a blank or line end in them are put together, words run together parted.
+
+        As in fix(), only words that stand often are read so, and only with a gain of `mojibake.MARGIN` over the tokens as they stand; a
+        part without a doubtful token stays. A blank too many or too few may be a slip of the keyboard and is no evidence; a word
+        broken by a line's end is, and so are confusions.
+        """
+        found = self.stretches.get(stream)
+        if found is None:
+            least, out, evidence = max(40, 2e-5 * self.total), [], 0
+            groups: list[list[tuple[int, int, str, tuple[str, ...]]]] = []
+            for part in self.path(stream)[0]:
+                if groups and "split" in part[3]:
+                    groups[-1].append(part)
+                else:
+                    groups.append([part])
+            for group in groups:
+                read = stream[group[0][0] : group[-1][1]]
+                used = [op for part in group for op in part[3]]
+                words = [part[2].strip() for part in group]
+                gain = sum(map(self.price, read.split())) - sum(map(self.price, words)) - sum(PRICES[op] for op in used)
+                if ("merge" in used or "split" in used) and gain >= mojibake.MARGIN and all(self.counts.get(w, 0) >= least for w in words) and any(map(self.doubtful, read.split())):
+                    # Line ends are kept, so that the lines stay what they are.
+                    out.append(" ".join(words) + "\n" * ("\n" in read))
+                    evidence += ("\n" in read) + used.count("confusion")
+                else:
+                    out.append(read)
+            found = (re.sub(r"\n\s", "\n", "".join(out)), evidence)
+            if len(self.stretches) > 200_000:
+                self.stretches.clear()
+            self.stretches[stream] = found
+        return found
+
+    def respace(self, body: str) -> tuple[str, int]:
+        """(text with blanks put right, evidence): every run of doubtful tokens with the token before and behind it is decoded."""
+        runs: list[list[int]] = []  # (start, end) of stretches; those that touch are one
+        before, open_ = None, False
+        for m in _TOKEN.finditer(body):
+            start, end = m.span()
+            near = before is not None and start == before[1] + 1 and body[before[1]] in " \n"
+            odd = self.doubtful(m.group())
+            if odd:
+                since = before[0] if near else start
+                if runs and since <= runs[-1][1]:
+                    runs[-1][1] = end
+                else:
+                    runs.append([since, end])
+            elif near and open_:
+                runs[-1][1] = end
+            before, open_ = (start, end), odd
+        parts, at, evidence = [], 0, 0
+        for start, end in runs:
+            text, found = self.stretch(body[start:end])
+            parts += [body[at:start], text]
+            at, evidence = end, evidence + found
+        return "".join([*parts, body[at:]]), evidence
+
     def is_header(self, line: str) -> bool:
         key = line_key(line)
         return key is not None and key in self.headers
@@ -265,7 +337,8 @@ class Lexicon:
                 fixes[token] = fixed[0]
         if fixes:
             body, misread = re.subn(r"(?<![\[\w@|])(?:" + "|".join(map(re.escape, fixes)) + r")(?![\]\w@|])", lambda m: fixes[m.group()], body)
-        return body, evidence + broken + misread
+        body, respaced = self.respace(body)
+        return body, evidence + broken + misread + respaced
 
 
 def paragraphs(text: str) -> list[str]:

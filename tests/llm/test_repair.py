@@ -153,6 +153,16 @@ def test_compounds_keep_their_hyphen(refs):
     assert lex.decode("yellowbrown wing")[0] == "yellow brown wing" and lex.decode("indiv iduals")[0] == "individuals"
 
 
+def test_broken_and_run_together_words_are_repaired():
+    words = {"individuals": 500, "yellow": 900, "wing": 900, "of": 3000, "the": 5000, "in": 3000, "spider": 900, "seen": 700, "be": 900, "Por": 60}
+    lex = scan.Lexicon(words, 40_000, frozenset())
+    assert lex.repair("seen indiv iduals ofthe spider") == ("seen individuals of the spider", 0)
+    assert lex.repair("seen in the yellow indi\nviduals of the spider") == ("seen in the yellow individuals\nof the spider", 1)
+    assert lex.repair("the be wing in dividuals seen")[0] == "the be wing individuals seen"
+    for text in ("seen in the\nwing of the spider", "Porthe of Zelotes", "[Page 1]\nindi", "a yellow wing"):
+        assert lex.repair(text) == (text, 0)
+
+
 def test_paragraphs():
     text = "[Page 1]\nHeading\nThe first line of a paragraph that is long enough to be full\nand goes on here, to the end.\n\nAnother one starts after a blank line and is as long as that\nother line."
     assert scan.paragraphs(text) == ["[Page 1]", "Heading", "The first line of a paragraph that is long enough to be full and goes on here, to the end.", "Another one starts after a blank line and is as long as that other line."]
