@@ -285,11 +285,16 @@ def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: i
     return counted, both.mapInPandas(verify, "cls_a bigint, cls_b bigint, common int, union int")
 
 
-def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
+def similar_members(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(members (id, cls), pairs of classes alike) for `copies`: a class is one text, its members are the records that have it."""
     rows = df.filter(df[text_col].isNotNull()).select(df[id_col].alias("id"), F.xxhash64(text_col).alias("cls"), df[text_col].alias("text"))
     counted, alike = similar_classes(rows.select("cls", "text"), width, threshold, min_words)
-    return expand(rows.select("id", "cls").distinct().join(counted, "cls"), alike)
+    return rows.select("id", "cls").distinct().join(counted, "cls"), alike
+
+
+def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0) -> DataFrame:
+    """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
+    return expand(*similar_members(df, id_col, text_col, width, threshold, min_words))
 
 
 def components(edges: DataFrame, a: str = "doc_a", b: str = "doc_b") -> DataFrame:

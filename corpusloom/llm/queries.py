@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mojibake, neardup, packing, scan, spans, split
+from corpusloom.sources.staging import stage
+
+from . import bpe, copies, language, mojibake, neardup, packing, scan, spans, split
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,15 +69,23 @@ def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _language_segments(spark, sf_dir).distinct()
 
 
+def _alike(spark: SparkSession, sf_dir: str) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """Members and pairs of classes alike, of texts and of titles."""
+    texts = neardup.similar_members(_spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text")), text_col="full_text", width=5, threshold=0.5, min_words=100)
+    return texts, neardup.similar_members(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = neardup.similar_pairs(_spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text")), text_col="full_text", width=5, threshold=0.5, min_words=100)
-    titles = neardup.similar_pairs(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
+    texts, titles = (copies.expand(*field) for field in _alike(spark, sf_dir))
     return texts.select(F.lit("full_text").alias("field"), "doc_a", "doc_b").unionByName(titles.select(F.lit("title").alias("field"), "doc_a", "doc_b"))
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per record that is like another in text or title: its group and how many records it is like."""
-    return neardup.components(p4_found(spark, sf_dir).select("doc_a", "doc_b").distinct()).withColumnRenamed("id", "doc_id")
+    """One row per record that is like another in text or title: its group and how many records it is like, copies counted in full."""
+    texts, titles = ((stage(members, "dup-members"), stage(alike, "dup-alike")) for members, alike in _alike(spark, sf_dir))
+    edges = copies.expand(*texts, most=1).unionByName(copies.expand(*titles, most=1)).distinct()  # stars: all a group needs
+    groups = neardup.components(edges).select("id", "group_id")
+    return groups.join(copies.links(texts, titles), "id").select(F.col("id").alias("doc_id"), "group_id", "n_links")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from corpusloom.llm import neardup
+from corpusloom.llm import copies, neardup, queries
 
 
 def brute(rows, width, threshold, least):
@@ -74,3 +74,29 @@ def test_components(spark):
             root[max(a, b)] = min(a, b)
     linked = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: find(x) for x in linked}
+
+
+def test_links_count_copies_in_full(spark):
+    rng = random.Random(5)
+    fields, want = [], {}
+    for _ in range(2):
+        members = {(rng.randrange(60), rng.randrange(12)) for _ in range(70)}
+        alike = {tuple(sorted(rng.sample(range(12), 2))) for _ in range(5)}
+        for i, c in members:
+            for j, d in members:
+                if i != j and (c == d or (min(c, d), max(c, d)) in alike):
+                    want.setdefault(i, set()).add(j)
+        fields.append((spark.createDataFrame(sorted(members), "id int, cls long"), spark.createDataFrame(sorted(alike), "cls_a long, cls_b long")))
+    got = {r["id"]: r["n_links"] for r in copies.links(*fields).collect()}
+    assert {i: n for i, n in got.items() if n} == {i: len(x) for i, x in want.items()}
+
+
+def test_groups_of_very_many_copies(spark, tmp_path):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(120)]
+    text, near = " ".join(words), " ".join([*words[:-2], "other", "words"])
+    spark.createDataFrame([(f"d{k:04}", text) for k in range(1001)] + [("e", near)], "doc_id string, full_text string").write.parquet(f"{tmp_path}/full_texts.parquet")
+    spark.createDataFrame([("e", "Spiders of the north"), ("f", "Spiders of the north"), ("d0000", "Spiders of the north")], "doc_id string, title string").write.parquet(f"{tmp_path}/metadata.parquet")
+    got = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in queries.p4_groups(spark, str(tmp_path)).collect()}
+    assert len(got) == 1003 and {g for g, _ in got.values()} == {"d0000"}
+    assert got["d0000"][1] == 1002 and got["e"][1] == 1002 and got["f"][1] == 2 and {got[f"d{k:04}"][1] for k in range(1, 1001)} == {1001}
