@@ -426,15 +426,20 @@ links AS (SELECT l.doc_id, l.chunk_idx, c.pos, c.caption, c.picture_ref FROM lat
   AND NOT EXISTS (SELECT 1 FROM figs f WHERE f.doc_id = l.doc_id AND f.chunk_idx = l.chunk_idx AND f.picture_ref = c.picture_ref))"""
 
 
-def _phrases(spark, d, spoil: bool = False):
-    """Beginnings of every other chunk as captions to look for; spoilt ones have two characters read wrongly."""
-    words = F.substring("text", 1, 40)
-    if spoil:
-        words = F.overlay(F.overlay(words, F.lit("#"), F.lit(9), F.lit(1)), F.lit("#"), F.lit(27), F.lit(1))
-    rows = _chunks(spark, d).filter("length(text) >= 60 AND chunk_idx % 2 = 0").select("doc_id", words.alias("caption"), F.col("chunk_idx").alias("pos"), F.concat(F.lit("#/pictures/"), F.col("chunk_idx").cast("string")).alias("ref"))
+def _phrases(spark, d):
+    """Beginnings of every other chunk as captions to look for."""
+    rows = _chunks(spark, d).filter("length(text) >= 60 AND chunk_idx % 2 = 0").select("doc_id", F.substring("text", 1, 40).alias("caption"), F.col("chunk_idx").alias("pos"), F.concat(F.lit("#/pictures/"), F.col("chunk_idx").cast("string")).alias("ref"))
     return rows.groupBy("doc_id", "caption").agg(F.max_by("ref", "pos").alias("picture_ref"), F.min("pos").alias("pos"))
 
 
+def _spoilt(spark, d):
+    """The captions of all pictures, and every heading of every chunk, whole, with one character read wrongly."""
+    rows = _chunks(spark, d).select("doc_id", F.explode("headings").alias("h"), F.col("chunk_idx").alias("pos"), F.concat(F.lit("#/pictures/"), F.col("chunk_idx").cast("string")).alias("ref"))
+    rows = rows.filter("h <> ''").withColumn("caption", F.overlay("h", F.lit("#"), F.ceil(F.length("h") / 2).cast("int"), F.lit(1)))
+    made = rows.groupBy("doc_id", "caption").agg(F.max_by("ref", "pos").alias("picture_ref"), F.min("pos").alias("pos"))
+    return made.unionByName(items.captions(_items(spark, d)))
+
+
 @query(f"""WITH {_FIGS},
 caps AS (SELECT doc_id, left(text, 40) AS caption, '#/pictures/' || max(chunk_idx) AS picture_ref, min(chunk_idx) AS pos FROM latest WHERE length(text) >= 60 AND chunk_idx % 2 = 0 GROUP BY ALL)
 SELECT l.doc_id, l.chunk_idx, c.pos, c.caption, c.picture_ref FROM latest l JOIN caps c ON c.doc_id = l.doc_id WHERE l.text <> '' AND (contains(l.text, c.caption) OR contains(c.caption, l.text))
@@ -445,8 +450,8 @@ def caption_contains_link(spark, d):
 
 @query()
 def caption_fuzzy_link(spark, d):
-    """Best alignment of 85 and more with spoilt captions; SQL has no such score."""
-    return chunks.fuzzy_links(_chunks(spark, d), _phrases(spark, d, spoil=True))
+    """Best alignment of 85 and more with captions and spoilt headings; SQL has no such score."""
+    return chunks.fuzzy_links(_chunks(spark, d), _spoilt(spark, d))
 
 
 @query(f"WITH {_FIGS} SELECT doc_id, chunk_idx, picture_ref, min(pos) AS pos FROM figs GROUP BY doc_id, chunk_idx, picture_ref")

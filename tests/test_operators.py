@@ -149,3 +149,20 @@ def test_catalog(spark):
     assert values(catalog.links(pages_, "http://h")) == [("u", 1, "http://h/x.pdf")]
     assert values(catalog.to_fetch(spark.createDataFrame([("p",), ("q",)], "path string"), spark.createDataFrame([("p",)], "path string"))) == [("q",)]
     assert catalog.folder(F.lit("A b")) is not None
+
+
+def test_fuzzy_links_look_for_every_heading(spark, data):
+    from corpusloom.plans import registry
+
+    got = set(values(registry.QUERIES["caption_fuzzy_link"](spark, data), "doc_id", "chunk_idx", "caption"))
+    rows = registry._chunks(spark, data).collect()
+    want, odd = set(), 0
+    for x in rows:
+        for h in x["headings"] or []:
+            at = (len(h or "") + 1) // 2 - 1
+            for y in rows:
+                held = {f["picture_ref"] for f in y["figures"] or []}
+                if h and len(h) >= 7 and y["doc_id"] == x["doc_id"] and h in (y["text"] or "") and not any("#/pictures/" in (r or "") for r in held):
+                    want.add((y["doc_id"], y["chunk_idx"], h[:at] + "#" + h[at + 1 :]))
+                    odd += x["chunk_idx"] % 2
+    assert odd and want <= got
