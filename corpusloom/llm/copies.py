@@ -8,25 +8,44 @@ from pyspark.sql import functions as F
 from corpusloom.sources.staging import stage
 
 #: Classes of more exact copies than this are given by membership: every copy is paired with the class's first record,
-#: which stands for them in pairs with other classes. No link between different texts is lost.
+#: which stands for them in pairs with other classes. No link between different texts is lost; `membership` has the classes, None lists all pairs.
 MOST_COPIES = 1000
 
 
-def expand(members: DataFrame, alike: DataFrame, most: int = MOST_COPIES) -> DataFrame:
-    """(doc_a, doc_b), doc_a < doc_b, from members (id, cls) and pairs of classes (cls_a, cls_b).
+def membership(members: DataFrame) -> DataFrame:
+    """(field, cls, representative, n, id): every record of every class with the class's first record and its number of records.
 
-    A record in several classes is never paired with itself; each pair comes once.
+    With the pairs of representatives (`representatives`) it says the same as all pairs of records, in a row a record.
     """
-    members = members.select("id", "cls").distinct()
+    members = members.select("field", "cls", "id").distinct()
+    sizes = members.groupBy("cls").agg(F.min("id").alias("representative"), F.count("*").alias("n"))
+    return members.join(sizes, "cls").select("field", "cls", "representative", "n", "id")
+
+
+def representatives(members: DataFrame, alike: DataFrame) -> DataFrame:
+    """(field, doc_a, doc_b, n_a, n_b): pairs of different classes by their first records, with the numbers of their records."""
+    sizes = stage(members.groupBy("field", "cls").agg(F.min("id").alias("doc"), F.countDistinct("id").alias("n")), "copies-sizes")
+    one = lambda x: sizes.select(F.col("cls").alias(f"cls_{x}"), F.col("doc").alias(f"doc_{x}"), F.col("n").alias(f"n_{x}"))
+    return alike.select("field", "cls_a", "cls_b").distinct().join(one("a"), "cls_a").join(one("b"), "cls_b").select("field", "doc_a", "doc_b", "n_a", "n_b")
+
+
+def expand(members: DataFrame, alike: DataFrame, most: int | None = MOST_COPIES) -> DataFrame:
+    """(field, doc_a, doc_b), doc_a < doc_b, from members (field, id, cls) and pairs of classes (cls_a, cls_b).
+
+    A record in several classes is never paired with itself; each pair comes once. most: classes of more records are given
+    by membership; None lists all pairs of any class.
+    """
+    members = members.select("field", "id", "cls").distinct()
     sizes = members.groupBy("cls").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     known = members.join(sizes, "cls")
-    active = known.filter((F.col("n") <= most) | (F.col("id") == F.col("first"))).select("cls", "id")
-    across = alike.select("cls_a", "cls_b").join(active.toDF("cls_a", "a"), "cls_a").join(active.toDF("cls_b", "b"), "cls_b").select("a", "b")
-    few = known.filter((F.col("n") > 1) & (F.col("n") <= most)).select("cls", "id")
-    inside = few.withColumnRenamed("id", "a").join(few.withColumnRenamed("id", "b"), "cls").filter("a < b").select("a", "b")
-    many = known.filter((F.col("n") > most) & (F.col("id") != F.col("first"))).select(F.col("first").alias("a"), F.col("id").alias("b"))
-    pairs = across.unionByName(inside).unionByName(many).filter("a <> b")
-    return pairs.select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
+    all_ = F.lit(True) if most is None else F.col("n") <= most
+    active = known.filter(all_ | (F.col("id") == F.col("first"))).select("field", "cls", "id")
+    across = alike.select("cls_a", "cls_b").join(active.toDF("field", "cls_a", "a"), "cls_a").join(active.select(F.col("cls").alias("cls_b"), F.col("id").alias("b")), "cls_b").select("field", "a", "b")
+    few = known.filter((F.col("n") > 1) & all_).select("field", "cls", "id")
+    pairs = across.unionByName(few.withColumnRenamed("id", "a").join(few.select("cls", F.col("id").alias("b")), "cls").filter("a < b").select("field", "a", "b"))
+    if most is not None:
+        pairs = pairs.unionByName(known.filter((F.col("n") > most) & (F.col("id") != F.col("first"))).select("field", F.col("first").alias("a"), F.col("id").alias("b")))
+    return pairs.filter("a <> b").select("field", F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
 
 
 def _field(members: DataFrame, alike: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:

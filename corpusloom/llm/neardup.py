@@ -1,15 +1,21 @@
 """Near-duplicate records: an exact set-similarity join over prefixes of rare tokens and combinations of frequent ones.
 
-A record is the set of its token sequences (`width` words; 1 for titles). All sets are read in one global order:
-sequences with a rare word, then the others by the product of their words' frequencies, then those known to be frequent
-by their count. With threshold t a set of n misses at most n - ceil(t n) of its members in any partner, and n - ceil(2 t / (1 + t) n)
-in a partner of its size or larger. Its probing and its indexing prefix hold `depth(n)` members more than that,
-so the smaller set's indexing prefix and the larger one's probing prefix share that many. A member of the rare class is indexed by
-itself; of the frequent class only pairs are, for which the prefix is extended by one. Two sets are candidates if they
-share `depth` index entries, which chance hardly gives; candidates are verified over their whole sets. The order
-decides only how much work there is: every statistic may be rough, the result stays exact, and nothing is capped.
-
-Defined results: null texts, texts below `min_words` and texts without words give no pair; identical texts are one
+A record is the set of its token sequences (`width` words; 1 for titles). All sets are read in one global order, made of
+integers alone: sequences with a rare word, then the others by the sum of their words' frequency classes, then those that are
+frequent themselves by their count. With threshold t a set of n misses at most n - ceil(2 t / (1 + t) n) of its members in a
+partner of its size or larger, and n - ceil(t n) in any partner. Its indexing and its probing prefix hold `depth` members
+more than that, so the smaller set's indexing prefix and the larger one's probing prefix share that many. A member of the rare
+class is indexed by itself; of the frequent class only pairs (k = 2) are, made within buckets, for which the prefix is extended by one member a
+bucket: shared members r of the rare and f of the frequent class in b buckets give r + max(0, f - b) shared entries at
+least. The number of buckets follows the size of the set (`level`), so pairs grow in proportion to it; a set also probes
+in the levels its smaller partners may have. Two sets are candidates if they share `depth` entries; candidates are verified over
+their whole sets. The order decides only how much work there is: every statistic may be rough, the result stays exact, and nothing is capped.
+
+The index is shuffled once, by entry. A group of more than HOT rows isn't paired where it lies but in a join of its own, which
+is split over tasks, so no task holds an unbounded group. A sequence that makes up 2**-18 of all is of the frequent class,
+hence a single entry's group has a smaller share than that.
+
+Defined results: null texts, texts below `min_words` and texts without words give no pair; identical texts (by a digest of 128 bits) are one
 class, compared once and expanded at the end; a record with several rows counts with each of them, and never meets itself.
 """
 
@@ -17,26 +23,39 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from corpusloom.sources.staging import stage
 
 from .copies import expand
 
 WORDS = regex.compile(r"\p{L}{3,}")
-#: A word is frequent if it makes up this share of all words and stands so often; a sequence, if it stands so often and is one of the LISTED most frequent.
-WORD_SHARE, WORD_LEAST, SEQUENCE_LEAST, LISTED = 2.0**-17, 200, 32, 1 << 18
+#: A word is frequent if it makes up this share of all words (so at most 2**17 are) and stands so often.
+WORD_SHARE, WORD_LEAST = 2.0**-17, 200
+#: A sequence is frequent if it makes up this share of all sequences of its field (so at most 2**18 are) and stands so often.
+SEQUENCE_SHARE, SEQUENCE_LEAST = 2.0**-18, 32
+#: Rows of one entry that are paired where they lie, and rows a task holds before it looks for larger groups to pass on.
+HOT, HELD = 4096, 8_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SLOTS = np.uint64((1 << 22) - 1)
+_LISTED = 1 << 15  # the level from which members are of the frequent class
+
+
+@dataclass(frozen=True)
+class Field:
+    """What makes two texts of a field alike."""
+
+    width: int = 5
+    threshold: float = 0.8
+    min_words: int = 0
 
 
 def words_of(text: str | None) -> list[str]:
@@ -44,257 +63,393 @@ def words_of(text: str | None) -> list[str]:
     return WORDS.findall(text) if text else []
 
 
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
 
 
-class _Index(dict):
-    """Word to position in the tables below; a new word is added as it is looked up."""
+def _salt(k: int) -> np.uint64:
+    return np.uint64((k * 0x9E3779B97F4A7C15 + 1) % (1 << 64))
 
-    def __init__(self, frequent: dict[int, float]) -> None:
-        self.frequent = frequent
-        self.hashes = np.zeros(1 << 12, np.uint64)
-        self.logs = np.zeros(1 << 12)
+
+class _Hashes(dict):
+    """Word to the hash of its lower case; a new word is added as it is looked up."""
 
     def __missing__(self, word: str) -> int:
-        k = self[word] = len(self)
-        if k >= len(self.hashes):
-            self.hashes, self.logs = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hashes, self.logs))
-        self.hashes[k] = h = _hash(word.lower())
-        self.logs[k] = self.frequent.get(h, -math.inf)
-        return k
-
-
-class Sequences:
-    """The sequences of a text as 64-bit numbers, with the sum of their words' log frequencies (-inf: one is rare)."""
-
-    def __init__(self, width: int, frequent: dict[int, float]) -> None:
-        self.width, self.index = width, _Index(frequent)
-
-    def ids(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-
-    def renew(self) -> None:
-        """Bounds a worker's memory; called between texts."""
-        if len(self.index) > 500_000:
-            self.index = _Index(self.index.frequent)
-
-    def raw(self, ids: np.ndarray) -> np.ndarray:
-        n = len(ids) - self.width + 1
-        if n < 1:
-            return np.zeros(0, np.uint64)
-        hashes = self.index.hashes[ids]
-        total = hashes[:n]
-        for j in range(1, self.width):
-            total = total * _STEP + hashes[j : j + n]
-        return _mix(total)
-
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.ids(words)
-        total, first = np.unique(self.raw(ids), return_index=True)
-        logs = np.concatenate([[0.0], np.cumsum(np.where(np.isneginf(own := self.index.logs[ids]), -1e9, own))])
-        weight = logs[first + self.width] - logs[first]
-        return total, np.where(weight < -1e8, -np.inf, np.round(weight, 3))
-
-
-def depth(n: int) -> int:
-    """How many index entries two partners share at least, of sets of n."""
-    return 1 + n // 24
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        return h
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-#: Frequent members are paired within this many buckets, which costs a prefix so many members more and saves most pairs.
-BUCKETS = 8
+# -- sets ---------------------------------------------------------------------------------------------------------------
 
 
-def small(threshold: float) -> int:
-    """Sets up to this size may have too few members for the buckets."""
-    n = 1
-    while math.ceil(threshold * n - 1e-9) < depth(n) + BUCKETS:
-        n += 1
-    return n
+def raw(words: np.ndarray, sizes: np.ndarray, width: int, salt: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, sequence, place) of every sequence of texts of `sizes` words each, laid end to end."""
+    n = len(words) - width + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    total = words[:n].copy()
+    for j in range(1, width):
+        total = total * _STEP + words[j : j + n]
+    text = np.repeat(np.arange(len(sizes)), sizes)[:n]
+    place = np.flatnonzero(np.arange(n) + width <= np.cumsum(sizes)[text])
+    return text[place], _mix(total[place] + salt), place
 
 
-def _take(n: int, share: float) -> int:
-    return n - math.ceil(share * n - 1e-9) + depth(n)
+def depth(n):
+    """How many index entries two partners share at least, of sets of n."""
+    return 1 + n // 24
 
 
-def signatures(total: np.ndarray, weight: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(entries, indexing): the index entries of a set, and whether each lies in its indexing prefix.
+def level(n):
+    """Which number of buckets, 2**level, a set of n pairs its frequent members in: one for 8 to 16 members."""
+    return np.maximum(np.floor(np.log2(np.maximum(n, 1) / 8 + 1e-12)), 0).astype(np.int64)
+
+
+def _least(n, share: float):
+    return np.ceil(share * n - 1e-9).astype(np.int64)
+
+
+def tiny(threshold: float) -> int:
+    """Sets up to this size may share too few members for pairs; their prefix is indexed by single members of either class."""
+    sizes = np.arange(1, 4096)
+    short = depth(sizes) + (1 << level(sizes)) > _least(sizes, 2 * threshold / (1 + threshold))
+    return int(sizes[short].max(initial=0))
+
+
+class Statistics:
+    """What is known of all texts: frequency classes of words by hash slot, and the frequent sequences with their counts."""
+
+    def __init__(self, words: dict[int, int], total: int, listed: dict[int, int]) -> None:
+        # Two words may share a slot: that makes a rare one pass for frequent, in every set alike, so the order stays one.
+        self.words = np.zeros(int(_SLOTS) + 1, np.int16)
+        for h, n in words.items():
+            at = h & int(_SLOTS)
+            self.words[at] = max(self.words[at], 1 + round(64 * math.log2(n / total / WORD_SHARE)))
+        self.listed = np.array(sorted(listed), np.uint64)
+        self.counts = np.array([listed[int(h)] for h in self.listed], np.int64)
+        self.maybe = np.zeros(int(_SLOTS) + 1, bool)
+        self.maybe[self.listed & _SLOTS] = True
+
+    def levels(self, words: np.ndarray, sequences: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+        """The place of each sequence's class in the global order: 0 with a rare word, up to _LISTED by its words, from there by its count."""
+        score = self.words[words & _SLOTS]
+        sums = np.concatenate([[0], np.cumsum(score, dtype=np.int64)])
+        rare = np.concatenate([[0], np.cumsum(score == 0, dtype=np.int64)])
+        out = np.where(rare[place + width] > rare[place], 0, np.minimum(sums[place + width] - sums[place], _LISTED - 1))
+        seen = np.flatnonzero(self.maybe[sequences & _SLOTS])
+        if len(seen) and len(self.listed):
+            at = np.minimum(np.searchsorted(self.listed, sequences[seen]), len(self.listed) - 1)
+            hit = self.listed[at] == sequences[seen]
+            out[seen[hit]] = _LISTED + np.minimum(np.log2(self.counts[at[hit]]) * 512, _LISTED - 1).astype(np.int64)
+        return out
+
+
+def ordered(text: np.ndarray, sequences: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, sequence, level) of each text's distinct sequences, in the order of the texts and in each in the global order."""
+    key = levels.astype(np.uint64) << np.uint64(48) | sequences >> np.uint64(16)
+    order = np.argsort(key)
+    order = order[np.argsort(text[order].astype(np.uint16) if len(text) and text[-1] < 65536 else text[order], kind="stable")]
+    t, s, k = text[order], sequences[order], key[order]
+    same = (t[1:] == t[:-1]) & (k[1:] == k[:-1])
+    if np.any(same & (s[1:] != s[:-1])):  # two sequences with one key: equal ones may not stand side by side
+        order = np.lexsort((sequences, key, text))
+        t, s = text[order], sequences[order]
+        same = (t[1:] == t[:-1]) & (s[1:] == s[:-1])
+    keep = np.concatenate([np.ones(min(1, len(t)), bool), ~same])
+    return t[keep], s[keep], levels[order][keep]
+
+
+def entries(text: np.ndarray, member: np.ndarray, levels: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, text, size) of the sets of `ordered`: size is that of the set for entries of its indexing prefix, its negative beyond."""
+    if not len(text):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = np.bincount(text)
+    place = np.arange(len(text)) - (np.cumsum(n) - n)[text]
+    frequent = levels >= _LISTED
+    rare = np.bincount(text, weights=~frequent).astype(np.int64)
+    short, long = (n - _least(n, share) + depth(n) for share in (2 * threshold / (1 + threshold), threshold))
+    small = tiny(threshold)
+    is_tiny, by_tiny = n <= small, n <= small / threshold
+    single = np.flatnonzero((place < long[text]) & (~frequent | by_tiny[text]))
+    indexing = (place[single] < short[text[single]]) & (~frequent[single] | is_tiny[text[single]])
+    out = [member[single]]
+    whose = [text[single]]
+    size = [np.where(indexing, n[whose[0]], -n[whose[0]])]
+    own, low = level(n), level(np.maximum(_least(n, threshold), 1))
+    for back in range(int((own - low).max()) + 1):
+        # back 0: the set's own level; above: levels of smaller partners, only probed.
+        at = np.maximum(own - back, 0)
+        takes_part = (own - back >= low) & ~is_tiny & (long > rare)
+        limit = long + (1 << at)
+        some = np.flatnonzero(takes_part[text] & frequent & (place < limit[text]))
+        if not len(some):
+            continue
+        t = text[some]
+        early = (place[some] < (short + (1 << at))[t]) & (short > rare)[t] & (back == 0)
+        bucket = _mix(member[some]) & ((1 << at) - 1).astype(np.uint64)[t]
+        group = (t.astype(np.uint64) << np.uint64(32)) | bucket
+        by = np.argsort(group, kind="stable")
+        group, keys, early, t = group[by], member[some][by], early[by], t[by]
+        i, k = np.arange(len(group)), 1
+        while True:
+            i = i[i + k < len(group)]
+            i = i[group[i] == group[i + k]]
+            if not len(i):
+                break
+            out.append(_mix(_mix(keys[i] * _STEP + keys[i + k]) + (at[t[i]].astype(np.uint64) + np.uint64(1)) * _STEP))
+            whose.append(t[i])
+            size.append(np.where(early[i] & early[i + k], n[t[i]], -n[t[i]]))
+            k += 1
+    return np.concatenate(out), np.concatenate(whose), np.concatenate(size)
+
+
+# -- pairs --------------------------------------------------------------------------------------------------------------
+
+
+def meet(sig: np.ndarray, cls: np.ndarray, size: np.ndarray, least: np.ndarray | float) -> tuple[np.ndarray, ...]:
+    """(a, b, n, hits), a < b: how many entries two sets share of which the smaller has `n` members and the entry in its indexing prefix."""
+    found: list[tuple[np.ndarray, ...]] = []
+    i, k = np.arange(len(sig)), 1
+    while True:
+        i = i[i + k < len(sig)]
+        i = i[sig[i] == sig[i + k]]
+        if not len(i):
+            break
+        j = i + k
+        k += 1
+        na, nb = np.abs(size[i]), np.abs(size[j])
+        good = (cls[i] != cls[j]) & (np.minimum(na, nb) >= least * np.maximum(na, nb) - 1e-9) & (((size[i] > 0) & (na <= nb)) | ((size[j] > 0) & (nb <= na)))
+        p, q = cls[i[good]], cls[j[good]]
+        found.append((np.minimum(p, q), np.maximum(p, q), np.minimum(na, nb)[good], np.ones(len(p), np.int64)))
+        if sum(len(x[0]) for x in found) > 4_000_000:
+            found = [_summed(found)]
+    return _summed(found)
+
+
+def _summed(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    a, b, n, hits = (np.concatenate([np.zeros(0, np.int64), *(x[k] for x in found)]) for k in range(4))
+    if not len(a):
+        return a, b, n, hits
+    order = np.lexsort((b, a))
+    a, b, n, hits = a[order], b[order], n[order], hits[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    return a[first], b[first], np.minimum.reduceat(n, first), np.add.reduceat(hits, first)
+
+
+def _packed(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all words, number of words of each) of a column of packed hashes."""
+    values = column.to_pylist()
+    sizes = np.array([len(x) // 8 for x in values], np.int64)
+    return np.frombuffer(b"".join(values), np.uint64), sizes
+
+
+def tokens(texts: DataFrame, fields: list[Field]) -> DataFrame:
+    """Of rows (field, cls, text): (field, h, cls, words), the hashed words of each class that counts; h: its first 64 bits, with the field in them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = _Hashes(), set()
+        for batch in batches:
+            rows: list[tuple[int, int, bytes, bytes]] = []
+            for field, cls, text in zip(batch.column("field").to_pylist(), batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
+                if cls in seen:
+                    continue
+                seen.add(cls)
+                words = words_of(text)
+                if len(words) >= max(fields[field].width, fields[field].min_words, 1):
+                    rows.append((field, int.from_bytes(cls[-8:], "little", signed=True) ^ field, cls, hashes.of(words).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int8(), pa.int64(), pa.binary(), pa.binary()))], names=["field", "h", "cls", "words"])
+
+    return texts.select("field", "cls", "text").mapInArrow(run, "field tinyint, h bigint, cls binary, words binary")
 
-    counts: of the listed members how often they stand, else 0. A small set, and any that may be the partner of
-    one, is indexed by every member of its plain prefix.
-    """
-    n = len(total)
-    takes = _take(n, 2 * threshold / (1 + threshold)), _take(n, threshold)
-    # One number a member gives the order: listed or not, how frequent, then its hash; `total` comes sorted, so ties keep to it.
-    level = np.where(counts > 0, 1 << 15 | np.minimum(np.log2(np.maximum(counts, 1)) * 512, 32767).astype(np.int64), 32767 + np.maximum(np.where(np.isneginf(weight), -32767, weight * 256), -32767).astype(np.int64))
-    order = np.argsort(level.astype(np.uint64) << np.uint64(48) | total >> np.uint64(16), kind="stable")
-    rare = int((counts == 0).sum())
-    # The prefix with a listed member is longer by one a bucket.
-    short, long = (k if k <= rare or n <= small(threshold) else k + BUCKETS for k in takes)
-    plain = order[: takes[1]]
-    if takes[1] <= rare or n <= small(threshold):
-        return total[plain], np.arange(len(plain)) < short
-    single = order[: max(rare, takes[1]) if n * threshold <= small(threshold) else rare]
-    out, first = [total[single]], [np.arange(len(single)) < short]
-    two = order[rare:long]
-    early = np.arange(rare, rare + len(two)) < short
-    keys = total[two]
-    bucket = _mix(keys) % np.uint64(BUCKETS)
-    for k in range(BUCKETS):
-        of = np.flatnonzero(bucket == k)
-        of = of[np.argsort(keys[of])]
-        i, j = np.triu_indices(len(of), 1)
-        out.append(_mix(keys[of[i]] * _STEP + keys[of[j]]))
-        first.append(early[of[i]] & early[of[j]])
-    return np.concatenate(out), np.concatenate(first)
-
-
-def _shared(total_a: np.ndarray, total_b: np.ndarray) -> tuple[int, int]:
-    common = len(np.intersect1d(total_a, total_b, assume_unique=True))
-    return common, len(total_a) + len(total_b) - common
-
-
-def frequencies(texts: DataFrame, width: int, min_words: int) -> tuple[dict[int, float], np.ndarray, np.ndarray]:
-    """(log frequency of the frequent words by hash; the listed sequences, sorted; their counts).
-
-    Every text is counted. A task sends what it met at least twice; at most LISTED entries of each kind come back.
-    """
+
+def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
+    """Counts over all texts. A task leaves out what it met once, which is at most a fifteenth of the count of anything as frequent as is asked for."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequences = Sequences(width, {})
-        held: list[np.ndarray] = []
-        size = total = 0
-
-        def out(last: bool) -> pa.RecordBatch:
-            nonlocal held, size
-            ids = np.concatenate([np.zeros(0, np.int64), *held])
-            words = np.bincount(ids, minlength=1)
-            word = np.flatnonzero(words > 1)
-            found = np.zeros(0, np.uint64)
-            if width > 1:
-                found = np.concatenate([found, *map(sequences.raw, held)])
-            found, n = np.unique(found, return_counts=True)
-            keys = np.concatenate([found[n > 1], sequences.index.hashes[word], np.zeros(int(last), np.uint64)])
-            values = np.concatenate([n[n > 1], words[word], np.full(int(last), total)])
-            kinds = np.repeat(np.array([2, 1, 0], np.int8), [int((n > 1).sum()), len(word), int(last)])
-            held, size = [], 0
-            sequences.renew()
-            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys.view(np.int64)), pa.array(values)], names=["kind", "h", "n"])
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in range(len(fields))}
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal size
+            rows: list[tuple[np.ndarray, np.ndarray, int, int]] = []
+            for field, parts in held.items():
+                if not parts:
+                    continue
+                words, sizes = (np.concatenate([p[k] for p in parts]) for k in range(2))
+                parts.clear()
+                found = raw(words, sizes, fields[field].width, _salt(field))[1]
+                for kind, values in ((1, words), (3, found)):
+                    if kind == 3 or fields[field].width > 1:
+                        value, n = np.unique(values, return_counts=True)
+                        rows.append((value[n > 1], n[n > 1], kind, field))
+                        rows.append((np.zeros(1, np.uint64), np.array([len(values)]), kind - 1, field))
+            size = 0
+            keys, n = (np.concatenate([np.zeros(0, t), *(r[k] for r in rows)]) for k, t in enumerate((np.uint64, np.int64)))
+            kind, field = (np.repeat(np.array([r[k] for r in rows], np.int8), [len(r[0]) for r in rows]) for k in (2, 3))
+            return pa.RecordBatch.from_arrays([pa.array(field), pa.array(kind), pa.array(keys.view(np.int64)), pa.array(n)], names=["field", "kind", "h", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = words_of(text)
-                if len(words) >= max(1, min_words):
-                    total += len(words)
-                    size += len(words)
-                    held.append(sequences.ids(words))
-                    if size > 4_000_000:
-                        yield out(False)
-        yield out(True)
-
-    counted = texts.select("text").mapInArrow(count, "kind tinyint, h bigint, n bigint").groupBy("kind", "h").agg(F.sum("n").alias("n"))
-    least = F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 2, SEQUENCE_LEAST).otherwise(0)
+            which = batch.column("field").to_numpy()
+            for field in np.unique(which).tolist():
+                words, sizes = _packed(batch.column("words").filter(pa.array(which == field)))
+                held[field].append((words, sizes))
+                size += len(words)
+            if size > 4_000_000:
+                yield out()
+        yield out()
+
+    counted = tokens.select("field", "words").mapInArrow(count, "field tinyint, kind tinyint, h bigint, n bigint").groupBy("field", "kind", "h").agg(F.sum("n").alias("n"))
+    least = F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 3, SEQUENCE_LEAST).otherwise(0)
     counted = stage(counted.filter(F.col("n") >= least), "dup-counts")
-    parts = [counted.filter(F.col("kind") == k).orderBy(F.desc("n"), "h").limit(LISTED) for k in range(3)]
-    top = parts[0].unionByName(parts[1]).unionByName(parts[2]).toArrow()
-    kind, h, n = (top.column(c).to_numpy() for c in ("kind", "h", "n"))
-    total = max(1, int(n[kind == 0].sum()))
-    words = {a % (1 << 64): math.log(b / total) for a, b in zip(h[kind == 1].tolist(), n[kind == 1].tolist()) if b >= total * WORD_SHARE}
-    listed = h[kind == 2].view(np.uint64)
-    order = np.argsort(listed)
-    return words, listed[order], n[kind == 2][order]
-
-
-def similar_classes(texts: DataFrame, width: int, threshold: float, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """Of rows (cls, text): the classes that count (cls), and (cls_a, cls_b, common, union) of those alike, cls_a < cls_b."""
-    known = texts.sparkSession.sparkContext.broadcast(frequencies(texts, width, min_words))  # LISTED entries at most
+    totals = {(r["field"], r["kind"]): r["n"] for r in counted.filter("kind IN (0, 2)").collect()}
+    share = F.lit(0.0)
+    for (field, kind), n in totals.items():
+        share = F.when((F.col("field") == field) & (F.col("kind") == kind + 1), n * (WORD_SHARE if kind == 0 else SEQUENCE_SHARE)).otherwise(share)
+    # By their shares at most 2**17 words and 2**18 sequences a field come back.
+    top = counted.filter("kind IN (1, 3)").filter(F.col("n") >= share).toArrow()
+    field, kind, h, n = (top.column(c).to_numpy() for c in ("field", "kind", "h", "n"))
+    words: dict[int, int] = {}
+    for f, x, c in zip(field[kind == 1].tolist(), h[kind == 1].view(np.uint64).tolist(), n[kind == 1].tolist()):
+        words[x] = words.get(x, 0) + c
+    total = max(1, sum(c for (_, k), c in totals.items() if k == 0))
+    return Statistics({x: c for x, c in words.items() if c >= total * WORD_SHARE}, total, dict(zip(h[kind == 3].view(np.uint64).tolist(), n[kind == 3].tolist())))
+
+
+def similar_classes(held: DataFrame, fields: list[Field]) -> DataFrame:
+    """Of staged `tokens`: (field, cls_a, cls_b, common, union) of the classes that are alike, cls_a < cls_b."""
+    known = held.sparkSession.sparkContext.broadcast(statistics(held, fields))  # bounded by the shares
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_known, listed, often = known.value
-        sequences, seen = Sequences(width, words_known), set()
+        stats = known.value
         for batch in batches:
-            sigs, cls, sizes = [], [], []
-            for c, text in zip(batch.column("cls").to_pylist(), batch.column("text").to_pylist()):
-                if c in seen:
-                    continue
-                seen.add(c)
-                sequences.renew()
-                words = words_of(text)
-                if len(words) < max(1, min_words):
-                    continue
-                total, weight = sequences.of(words)
-                if not len(total):
-                    continue
-                counts = np.zeros(len(total), np.int64)
-                if len(listed):
-                    at = np.minimum(np.searchsorted(listed, total), len(listed) - 1)
-                    counts = np.where(listed[at] == total, often[at], 0)
-                entries, indexing = signatures(total, weight, counts, threshold)
-                own = np.array([c], np.int64).view(np.uint64)
-                sigs += [own, entries]
-                cls.append(np.full(len(entries) + 1, c, np.int64))
-                sizes += [np.zeros(1, np.int32), np.where(indexing, len(total), -len(total)).astype(np.int32)]
-            if sigs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (cls, sizes))], names=["sig", "cls", "size"])
-
-    # size: 0 for the one row that says the class counts, the size of the set in its indexing prefix, its negative beyond.
-    indexed = texts.mapInArrow(index, "sig bigint, cls bigint, size int")
-    # The only shuffle of the index. Of an entry's group only its least and greatest class are kept in memory; the rows sort and spill.
-    by = W.partitionBy("sig")
-    meeting = (
-        indexed.withColumn("lo", F.min("cls").over(by)).withColumn("hi", F.max("cls").over(by)).withColumn("best", F.max("size").over(by))
-        .filter("size = 0 or lo < hi and best > 0").groupBy("sig", "cls").agg(F.max("size").alias("size"))
-    )
-    meeting = stage(meeting, "dup-meeting")
-    counted = meeting.filter("size = 0").select("cls").distinct()
-    left = meeting.filter("size > 0").select("sig", F.col("cls").alias("cls_a"), F.col("size").alias("n_a"))
-    right = meeting.filter("size <> 0").select("sig", F.col("cls").alias("cls_b"), F.abs("size").alias("n_b"))
-    met = left.join(right, "sig").filter((F.col("cls_a") != F.col("cls_b")) & (F.col("n_a") <= F.col("n_b")) & (F.col("n_a") >= threshold * F.col("n_b") - 1e-9))
-    candidates = (
-        met.groupBy("cls_a", "cls_b").agg(F.count("*").alias("hits"), F.min("n_a").alias("n")).filter(F.col("hits") >= 1 + F.floor(F.col("n") / 24))
-        .select(F.least("cls_a", "cls_b").alias("cls_a"), F.greatest("cls_a", "cls_b").alias("cls_b")).distinct()
-    )
-    candidates = stage(candidates, "dup-candidates")
-    wanted = candidates.select(F.col("cls_a").alias("cls")).unionByName(candidates.select(F.col("cls_b").alias("cls"))).distinct()
-    held = stage(texts.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("text").alias("text")), "dup-texts")
-    both = candidates.join(held.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")), "cls_a").join(held.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")), "cls_b")
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sequences = Sequences(width, {})
-        for rows in batches:
-            sets: dict[int, np.ndarray] = {}
-            for side in "ab":
-                for c, text in zip(rows[f"cls_{side}"], rows[f"text_{side}"]):
-                    if c not in sets:
-                        sequences.renew()
-                        sets[c] = sequences.of(words_of(text))[0]
+            which = batch.column("field").to_numpy()
+            for field in np.unique(which).tolist():
+                rows = batch.filter(pa.array(which == field))
+                words, sizes = _packed(rows.column("words"))
+                text, sequences, place = raw(words, sizes, fields[field].width, _salt(field))
+                sig, text, size = entries(*ordered(text, sequences, stats.levels(words, sequences, place, fields[field].width)), fields[field].threshold)
+                h = rows.column("h").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[text]), pa.array(size.astype(np.int32))], names=["sig", "h", "size"])
+
+    least = min(f.threshold for f in fields)
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        rows, seen_hot = 0, np.zeros(0, np.int64)
+
+        def batch(hot: bool, *columns: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), hot)), *(pa.array(c.astype(np.int64)) for c in columns)], names=["hot", "a", "b", "n", "hits"])
+
+        def grouped() -> tuple[np.ndarray, ...]:
+            sig, cls, size = (np.concatenate([np.zeros(0, np.int64), *(p[k] for p in parts)]) for k in range(3))
+            order = np.argsort(sig)
+            s = sig[order]
+            same = s[1:] == s[:-1]
+            order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(s) else order
+            order = order[np.lexsort((size[order], cls[order], sig[order]))]
+            sig, cls, size = sig[order], cls[order], size[order]
+            once = np.concatenate([np.ones(min(1, len(sig)), bool), (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1]) | (size[1:] != size[:-1])])
+            return sig[once], cls[once], size[once]
+
+        def large(sig: np.ndarray) -> np.ndarray:
+            start = np.flatnonzero(np.concatenate([np.ones(min(1, len(sig)), bool), sig[1:] != sig[:-1]]))
+            n = np.diff(np.append(start, len(sig)))
+            return np.repeat(n > HOT, n)
+
+        for b in batches:
+            sig, cls, size = (b.column(c).to_numpy() for c in ("sig", "h", "size"))
+            if len(seen_hot):
+                at = np.isin(sig, seen_hot)
+                if at.any():
+                    yield batch(True, sig[at], cls[at], size[at], np.zeros(int(at.sum()), np.int64))
+                    sig, cls, size = sig[~at], cls[~at], size[~at]
+            parts.append((sig, cls, size))
+            rows += len(sig)
+            if rows > HELD:
+                whole = tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
+                value, n = np.unique(whole[0], return_counts=True)
+                seen_hot = np.union1d(seen_hot, value[n > HOT])
+                at = np.isin(whole[0], seen_hot)
+                yield batch(True, *(x[at] for x in whole), np.zeros(int(at.sum()), np.int64))
+                parts = [tuple(x[~at] for x in whole)]
+                rows = -int((~at).sum())  # looks again when as many have come as stay
+        sig, cls, size = grouped()
+        at = large(sig)
+        yield batch(True, sig[at], cls[at], size[at], np.zeros(int(at.sum()), np.int64))
+        yield batch(False, *meet(sig[~at], cls[~at], size[~at].astype(np.int64), least))
+
+    indexed = held.select("field", "h", "words").mapInArrow(index, "sig bigint, h bigint, size int")
+    met = stage(indexed.repartition("sig").mapInArrow(paired, "hot boolean, a bigint, b bigint, n bigint, hits bigint"), "dup-met")
+    # Groups too large for one task: a join, whose skewed partitions are split.
+    hot = met.filter("hot").select(F.col("a").alias("sig"), F.col("b").alias("h"), F.col("n").alias("size")).distinct()
+    left = hot.filter("size > 0").select("sig", F.col("h").alias("h_a"), F.col("size").alias("n_a"))
+    right = hot.select("sig", F.col("h").alias("h_b"), F.abs("size").alias("n_b"), (F.col("size") > 0).alias("i_b"))
+    far = left.join(right, "sig").filter((F.col("h_a") != F.col("h_b")) & (F.col("n_a") >= least * F.col("n_b") - 1e-9) & ((F.col("n_a") < F.col("n_b")) | (F.col("n_a") == F.col("n_b")) & (~F.col("i_b") | (F.col("h_a") < F.col("h_b")))))
+    far = far.select(F.least("h_a", "h_b").alias("a"), F.greatest("h_a", "h_b").alias("b"), F.col("n_a").alias("n"), F.lit(1).cast("bigint").alias("hits"))
+    candidates = met.filter("NOT hot").select("a", "b", "n", "hits").unionByName(far).groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.min("n").alias("n"))
+    # Classes that share 64 bits are looked at too.
+    doubled = held.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select(F.col("h").alias("a"), F.col("h").alias("b"))
+    candidates = stage(candidates.filter(F.col("hits") >= depth_column("n")).select("a", "b").unionByName(doubled), "dup-candidates")
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    texts = stage(held.join(wanted, "h", "left_semi").groupBy("h", "cls").agg(F.first("field").alias("field"), F.first("words").alias("words")), "dup-texts")
+    both = candidates.join(texts.select(F.col("h").alias("a"), F.col("cls").alias("cls_a"), "field", F.col("words").alias("words_a")), "a").join(
+        texts.select(F.col("h").alias("b"), F.col("cls").alias("cls_b"), F.col("field").alias("field_b"), F.col("words").alias("words_b")), "b").filter((F.col("a") != F.col("b")) | (F.col("cls_a") < F.col("cls_b"))).filter("field = field_b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: dict[tuple[int, bytes], np.ndarray] = {}
             out = []
-            for ca, cb in zip(rows["cls_a"], rows["cls_b"]):
-                common, union = _shared(sets[ca], sets[cb])
-                if common >= threshold * union - 1e-9:
-                    out.append((ca, cb, common, union))
-            yield pd.DataFrame(out, columns=["cls_a", "cls_b", "common", "union"])
+            which = batch.column("field").to_pylist()
+            for side in "ab":
+                for f, c, words in zip(which, batch.column(f"cls_{side}").to_pylist(), batch.column(f"words_{side}").to_pylist()):
+                    if (f, c) not in sets:
+                        w = np.frombuffer(words, np.uint64)
+                        sets[f, c] = np.unique(raw(w, np.array([len(w)]), fields[f].width)[1])
+            for f, ca, cb in zip(which, batch.column("cls_a").to_pylist(), batch.column("cls_b").to_pylist()):
+                a, b = sets[f, ca], sets[f, cb]
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                union = len(a) + len(b) - common
+                if common >= fields[f].threshold * union - 1e-9:
+                    out.append((f, min(ca, cb), max(ca, cb), common, union))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int8(), pa.binary(), pa.binary(), pa.int32(), pa.int32()))], names=["field", "cls_a", "cls_b", "common", "union"])
+
+    return both.select("field", "cls_a", "cls_b", "words_a", "words_b").mapInArrow(verify, "field tinyint, cls_a binary, cls_b binary, common int, union int")
+
 
-    return counted, both.mapInPandas(verify, "cls_a bigint, cls_b bigint, common int, union int")
+def depth_column(n: str):
+    return 1 + F.floor(F.col(n) / 24)
+
+
+def class_members(parts: list[tuple[DataFrame, str, str, Field]]) -> tuple[DataFrame, DataFrame]:
+    """Of fields, each (table, id column, text column, Field): members (field, id, cls) and staged `tokens`.
+
+    A class is one text of one field that counts, its members are the records that have it.
+    """
+    rows = None
+    for k, (df, id_col, text_col, _) in enumerate(parts):
+        cls = F.concat(F.unhex(F.lit(f"{k:02x}")), F.unhex(F.md5(df[text_col])))
+        one = df.filter(df[text_col].isNotNull()).select(F.lit(k).cast("tinyint").alias("field"), df[id_col].alias("id"), cls.alias("cls"), df[text_col].alias("text"))
+        rows = one if rows is None else rows.unionByName(one)
+    held = stage(tokens(rows, [p[3] for p in parts]), "dup-tokens")
+    return rows.select("field", "id", "cls").distinct().join(held.select("cls").distinct(), "cls", "left_semi"), held
 
 
-def similar_members(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(members (id, cls), pairs of classes alike) for `copies`: a class is one text, its members are the records that have it."""
-    rows = df.filter(df[text_col].isNotNull()).select(df[id_col].alias("id"), F.xxhash64(text_col).alias("cls"), df[text_col].alias("text"))
-    counted, alike = similar_classes(rows.select("cls", "text"), width, threshold, min_words)
-    return rows.select("id", "cls").distinct().join(counted, "cls"), alike
+def similar_members(parts: list[tuple[DataFrame, str, str, Field]]) -> tuple[DataFrame, DataFrame]:
+    """`class_members` and pairs of classes alike (field, cls_a, cls_b), for `copies`. Fields share every stage."""
+    members, held = class_members(parts)
+    return members, similar_classes(held, [p[3] for p in parts])
 
 
-def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "full_text", width: int = 5, threshold: float = 0.8, min_words: int = 0, **how) -> DataFrame:
     """(doc_a, doc_b), doc_a < doc_b: records of which at least `threshold` of the distinct sequences of `width` words in either stand in both."""
-    return expand(*similar_members(df, id_col, text_col, width, threshold, min_words))
+    return expand(*similar_members([(df, id_col, text_col, Field(width, threshold, min_words))]), **how).select("doc_a", "doc_b")
 
 
 def components(edges: DataFrame, a: str = "doc_a", b: str = "doc_b") -> DataFrame:

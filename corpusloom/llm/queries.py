@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.sources.staging import stage
@@ -17,9 +17,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """A table of fewer splits than there are cores is dealt out, so that Python work isn't done by one task; a large table stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A table that comes as one split (a small file of one row group) is dealt out, so that Python work isn't done by one task; any other stays as it lies."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if df.rdd.getNumPartitions() == 1 else df
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,23 +68,35 @@ def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _language_segments(spark, sf_dir).distinct()
 
 
-def _alike(spark: SparkSession, sf_dir: str) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
-    """Members and pairs of classes alike, of texts and of titles."""
-    texts = neardup.similar_members(_spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text")), text_col="full_text", width=5, threshold=0.5, min_words=100)
-    return texts, neardup.similar_members(_t(spark, sf_dir, "metadata").select("doc_id", "title"), text_col="title", width=1, threshold=0.6)
+def _works(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, str, str, neardup.Field]]:
+    """Texts (field 0) and titles (field 1) with what makes them alike."""
+    return [
+        (_spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text")), "doc_id", "full_text", neardup.Field(5, 0.5, 100)),
+        (_t(spark, sf_dir, "metadata").select("doc_id", "title"), "doc_id", "title", neardup.Field(1, 0.6)),
+    ]
+
+
+def _field_name() -> Column:
+    return F.element_at(F.array(F.lit("full_text"), F.lit("title")), F.col("field") + 1)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts, titles = (copies.expand(*field) for field in _alike(spark, sf_dir))
-    return texts.select(F.lit("full_text").alias("field"), "doc_a", "doc_b").unionByName(titles.select(F.lit("title").alias("field"), "doc_a", "doc_b"))
+    return copies.expand(*neardup.similar_members(_works(spark, sf_dir))).select(_field_name().alias("field"), "doc_a", "doc_b")
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classes of exact copies of texts and of titles: every record with its class, the class's first record and size."""
+    members, _ = neardup.class_members(_works(spark, sf_dir))
+    return copies.membership(members).select(_field_name().alias("field"), F.lower(F.hex(F.substring("cls", 2, 16))).alias("cls"), "representative", "n", F.col("id").alias("doc_id"))
 
 
 def p4_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record that is like another in text or title: its group and how many records it is like, copies counted in full."""
-    texts, titles = ((stage(members, "dup-members"), stage(alike, "dup-alike")) for members, alike in _alike(spark, sf_dir))
-    edges = copies.expand(*texts, most=1).unionByName(copies.expand(*titles, most=1)).distinct()  # stars: all a group needs
+    members, alike = (stage(x, f"dup-{k}") for k, x in enumerate(neardup.similar_members(_works(spark, sf_dir))))
+    edges = copies.expand(members, alike, most=1).select("doc_a", "doc_b").distinct()  # stars: all a group needs
     groups = neardup.components(edges).select("id", "group_id")
-    return groups.join(copies.links(texts, titles), "id").select(F.col("id").alias("doc_id"), "group_id", "n_links")
+    fields = [(members.filter(F.col("field") == k), alike.filter(F.col("field") == k)) for k in range(2)]
+    return groups.join(copies.links(*fields), "id").select(F.col("id").alias("doc_id"), "group_id", "n_links")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +134,7 @@ def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
+    q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_classes, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
 }
 
 ORACLE: dict[str, str] = {

@@ -190,7 +190,7 @@ def span_matches(df: DataFrame, text_col: str = "text", span: int = SPAN, unit:
 
 def shared_pairs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, unit: int = UNIT) -> DataFrame:
     """(doc_a, doc_b), doc_a < doc_b: records with a span in common, copies included."""
-    return expand(classes(df, id_col, text_col, span), span_matches(df, text_col, span, unit).select("cls_a", "cls_b").distinct())
+    return expand(classes(df, id_col, text_col, span).withColumn("field", F.lit(0)), span_matches(df, text_col, span, unit).select("cls_a", "cls_b").distinct()).select("doc_a", "doc_b")
 
 
 def shared_share(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, unit: int = UNIT) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from corpusloom.llm import copies, neardup, queries
@@ -42,6 +43,8 @@ def test_pairs_agree_with_brute_force(spark, monkeypatch, width, threshold, size
     if frequent:  # so that sequences are listed on a small collection too
         monkeypatch.setattr(neardup, "WORD_LEAST", 2)
         monkeypatch.setattr(neardup, "SEQUENCE_LEAST", 2)
+        monkeypatch.setattr(neardup, "HOT", 5)  # and so that groups are passed on
+        monkeypatch.setattr(neardup, "HELD", 400)
     rng = random.Random(width * 10 + size)
     rows = made(rng, 150, size)
     rows += [(500, None), (501, ""), (502, "12 34"), (3, rows[9][1]), (503, rows[4][1].upper()), (504, rows[4][1])]
@@ -100,3 +103,60 @@ def test_groups_of_very_many_copies(spark, tmp_path):
     got = {r["doc_id"]: (r["group_id"], r["n_links"]) for r in queries.p4_groups(spark, str(tmp_path)).collect()}
     assert len(got) == 1003 and {g for g, _ in got.values()} == {"d0000"}
     assert got["d0000"][1] == 1002 and got["e"][1] == 1002 and got["f"][1] == 2 and {got[f"d{k:04}"][1] for k in range(1, 1001)} == {1001}
+
+
+def test_one_order_in_very_long_texts():
+    """The level of a sequence doesn't depend on the text it stands in, however many rare words stand before it."""
+    rng = random.Random(8)
+    frequent = [neardup._Hashes().of([f"w{k}"])[0].item() for k in range(300)]
+    stats = neardup.Statistics({h: 1000 + k for k, h in enumerate(frequent)}, 400_000, {})
+    common = [rng.choice(frequent) for _ in range(3000)]
+    texts = [[rng.getrandbits(63) for _ in range(rare)] + common for rare in (0, 500, 20_000)]
+    levels = []
+    for words in texts:
+        w = np.array(words, np.uint64)
+        text, seq, place = neardup.raw(w, np.array([len(w)]), 5)
+        levels.append(dict(zip(seq.tolist(), stats.levels(w, seq, place, 5).tolist())))
+    shared = set(levels[0]) & set(levels[1]) & set(levels[2])
+    assert len(shared) > 2900 and all(levels[0][s] == levels[1][s] == levels[2][s] for s in shared)
+
+
+def test_very_long_texts_agree_with_brute_force(spark):
+    rng = random.Random(12)
+    base = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{''.join(rng.choice('klmnop') for _ in range(rng.randint(1, 4)))}" for _ in range(20_000)]
+    rows = [(0, " ".join(base))]
+    for i, step in enumerate((13, 14, 15, 16, 30, 9, 200), 1):  # around the threshold
+        words = list(base)
+        for k in range(i, len(words), step):
+            words[k] = "zz" + "".join(rng.choice("abcdefgh") for _ in range(6))
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id int, full_text string")
+    got = sorted((r[0], r[1]) for r in neardup.similar_pairs(df, width=5, threshold=0.5).collect())
+    assert got == brute(rows, 5, 0.5, 0) and 0 < len(got) < 28
+
+
+@pytest.mark.parametrize("listed", [True, False])
+def test_an_entry_in_very_many_records(spark, monkeypatch, listed):
+    """One sequence in a whole collection of short records: of the frequent class it is indexed in pairs only; else its group is passed on to a join."""
+    if not listed:
+        monkeypatch.setattr(neardup, "SEQUENCE_LEAST", 1 << 40)
+        monkeypatch.setattr(neardup, "HOT", 20)
+        monkeypatch.setattr(neardup, "HELD", 5_000)
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefghijkl") for _ in range(7))
+    rows = [(i, " ".join([*(word() for _ in range(12)), "one line that all of them have", *(word() for _ in range(12))])) for i in range(10_000 if listed else 1_500)]
+    rows += [(20_000, rows[5][1] + " end"), (20_001, rows[999][1] + " end")]
+    df = spark.createDataFrame(rows, "doc_id int, full_text string").repartition(8)
+    got = sorted((r[0], r[1]) for r in neardup.similar_pairs(df, width=5, threshold=0.5).collect())
+    assert got == [(5, 20_000), (999, 20_001)]
+
+
+def test_classes_at_the_limit_of_copies(spark):
+    for n in (1000, 1001):
+        members = spark.createDataFrame([(0, i, 1) for i in range(n)] + [(0, 5000, 2)], "field int, id int, cls bigint")
+        alike = spark.createDataFrame([(0, 1, 2)], "field int, cls_a bigint, cls_b bigint")
+        assert copies.expand(members, alike, most=None).count() == n * (n - 1) // 2 + n
+        assert copies.expand(members, alike).count() == (n * (n - 1) // 2 + n if n == 1000 else n)
+        rows = copies.membership(members).collect()
+        assert len(rows) == n + 1 and {(r["cls"], r["representative"], r["n"]) for r in rows} == {(1, 0, n), (2, 5000, 1)}
+        assert [tuple(r) for r in copies.representatives(members, alike).collect()] == [(0, 0, 5000, n, 1)]

@@ -60,8 +60,8 @@ def test_repeated_lines(spark):
 
 
 def test_many_copies_are_given_by_membership(spark):
-    members = spark.createDataFrame([(i, 1) for i in range(6)] + [(10, 2), (11, 2)], "id int, cls bigint")
+    members = spark.createDataFrame([(0, i, 1) for i in range(6)] + [(0, 10, 2), (0, 11, 2)], "field int, id int, cls bigint")
     alike = spark.createDataFrame([(1, 2)], "cls_a bigint, cls_b bigint")
-    got = sorted((r[0], r[1]) for r in copies.expand(members, alike, most=5).collect())
+    got = sorted((r[1], r[2]) for r in copies.expand(members, alike, most=5).collect())
     assert got == [(0, 1), (0, 2), (0, 3), (0, 4), (0, 5), (0, 10), (0, 11), (10, 11)]
     assert copies.expand(members, alike).count() == 15 + 1 + 12
