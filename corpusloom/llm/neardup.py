@@ -43,6 +43,8 @@ WORD_SHARE, WORD_LEAST = 2.0**-17, 200
 SEQUENCE_SHARE, SEQUENCE_LEAST = 2.0**-18, 32
 #: Rows of one entry that are paired where they lie, and rows a task holds before it looks for larger groups to pass on.
 HOT, HELD = 4096, 8_000_000
+#: Words that are worked on at once.
+BATCH = 300_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = np.uint64((1 << 22) - 1)
@@ -243,11 +245,15 @@ def _summed(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return a[first], b[first], np.minimum.reduceat(n, first), np.add.reduceat(hits, first)
 
 
-def _packed(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(all words, number of words of each) of a column of packed hashes."""
+def _packed(column: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(rows, their words, number of words of each) of a column of packed hashes, in parts of about BATCH words."""
     values = column.to_pylist()
     sizes = np.array([len(x) // 8 for x in values], np.int64)
-    return np.frombuffer(b"".join(values), np.uint64), sizes
+    part = np.cumsum(sizes) // BATCH
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(values)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield slice(a, b), np.frombuffer(b"".join(values[a:b]), np.uint64), sizes[a:b]
 
 
 def tokens(texts: DataFrame, fields: list[Field]) -> DataFrame:
@@ -282,14 +288,13 @@ def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
             for field, parts in held.items():
                 if not parts:
                     continue
-                words, sizes = (np.concatenate([p[k] for p in parts]) for k in range(2))
-                parts.clear()
-                found = raw(words, sizes, fields[field].width, _salt(field))[1]
-                for kind, values in ((1, words), (3, found)):
+                for kind in (1, 3):
                     if kind == 3 or fields[field].width > 1:
+                        values = np.concatenate([p[kind // 2] for p in parts])
                         value, n = np.unique(values, return_counts=True)
                         rows.append((value[n > 1], n[n > 1], kind, field))
                         rows.append((np.zeros(1, np.uint64), np.array([len(values)]), kind - 1, field))
+                parts.clear()
             size = 0
             keys, n = (np.concatenate([np.zeros(0, t), *(r[k] for r in rows)]) for k, t in enumerate((np.uint64, np.int64)))
             kind, field = (np.repeat(np.array([r[k] for r in rows], np.int8), [len(r[0]) for r in rows]) for k in (2, 3))
@@ -298,9 +303,9 @@ def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
         for batch in batches:
             which = batch.column("field").to_numpy()
             for field in np.unique(which).tolist():
-                words, sizes = _packed(batch.column("words").filter(pa.array(which == field)))
-                held[field].append((words, sizes))
-                size += len(words)
+                for _, words, sizes in _packed(batch.column("words").filter(pa.array(which == field))):
+                    held[field].append((words if fields[field].width > 1 else words[:0], raw(words, sizes, fields[field].width, _salt(field))[1]))
+                    size += len(words)
             if size > 4_000_000:
                 yield out()
         yield out()
@@ -332,11 +337,11 @@ def similar_classes(held: DataFrame, fields: list[Field]) -> DataFrame:
             which = batch.column("field").to_numpy()
             for field in np.unique(which).tolist():
                 rows = batch.filter(pa.array(which == field))
-                words, sizes = _packed(rows.column("words"))
-                text, sequences, place = raw(words, sizes, fields[field].width, _salt(field))
-                sig, text, size = entries(*ordered(text, sequences, stats.levels(words, sequences, place, fields[field].width)), fields[field].threshold)
                 h = rows.column("h").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[text]), pa.array(size.astype(np.int32))], names=["sig", "h", "size"])
+                for at, words, sizes in _packed(rows.column("words")):
+                    text, sequences, place = raw(words, sizes, fields[field].width, _salt(field))
+                    sig, text, size = entries(*ordered(text, sequences, stats.levels(words, sequences, place, fields[field].width)), fields[field].threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[at][text]), pa.array(size.astype(np.int32))], names=["sig", "h", "size"])
 
     least = min(f.threshold for f in fields)
 
