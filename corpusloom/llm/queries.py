@@ -126,15 +126,22 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_share(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text")))
+    return spans.shared_share(_spread(_t(spark, sf_dir, "documents").select("doc_id", "text"))).withColumn("spans", F.array_join(F.transform("spans", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), " "))
 
 
 def p8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.repeated_lines(_t(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def p8_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document what is left without lines that stand earlier, each piece with its offset in the text as stored."""
+    left = spans.left_over(_t(spark, sf_dir, "documents").select("doc_id", "text"))
+    pieces = F.transform("pieces", lambda x: F.concat_ws(":", x["start"].cast("string"), x["end"].cast("string"), F.md5(x["piece"])))
+    return left.select("doc_id", "n_removed", "removed_chars", F.array_join(pieces, " ").alias("pieces"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_classes, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines)
+    q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_classes, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines, p8_left)
 }
 
 ORACLE: dict[str, str] = {
@@ -152,6 +159,24 @@ ts AS (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS s FROM tw),
 tc AS (SELECT a.doc_id AS da, b.doc_id AS db, a.n AS na, b.n AS nb, count(*) AS c FROM ts a JOIN ts b ON a.s = b.s AND a.r < b.r AND a.doc_id <> b.doc_id GROUP BY a.r, b.r, a.doc_id, b.doc_id, a.n, b.n),
 titles AS (SELECT 'title' AS field, least(da, db) AS doc_a, greatest(da, db) AS doc_b FROM tc WHERE 5 * c >= 3 * (na + nb - c))
 SELECT DISTINCT * FROM (SELECT * FROM texts UNION ALL SELECT * FROM titles)
+""",
+    "p8_found": r"""
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 240),
+w AS (SELECT doc_id, hash(substr(text, i, 240)) AS h FROM d, unnest(range(1, n - 238)) AS u(i)),
+s AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT DISTINCT doc_id, h FROM w SEMI JOIN s USING (h))
+SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM m a JOIN m b ON a.h = b.h AND a.doc_id < b.doc_id
+""",
+    "p8_share": r"""
+WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 240),
+w AS (SELECT doc_id, i, hash(substr(text, i, 240)) AS h FROM d, unnest(range(1, n - 238)) AS u(i)),
+s AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT DISTINCT doc_id, i FROM w SEMI JOIN s USING (h)),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 240 THEN 0 ELSE 1 END AS new FROM m)),
+c AS (SELECT doc_id, run, min(i) - 1 AS s, max(i) + 239 AS e FROM g GROUP BY doc_id, run),
+a AS (SELECT doc_id, string_agg(s || '-' || e, ' ' ORDER BY s) AS spans, CAST(sum(e - s) AS BIGINT) AS shared_chars FROM c GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(length(text), 0) AS INTEGER) AS n_chars, coalesce(spans, '') AS spans, coalesce(shared_chars, 0) AS shared_chars,
+ CASE WHEN length(text) > 0 THEN coalesce(shared_chars, 0) / length(text) ELSE 0.0 END AS share FROM documents LEFT JOIN a USING (doc_id)
 """,
     "p8_lines": r"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
@@ -162,5 +187,15 @@ lines AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, a[i] AS line,
 units AS (SELECT doc_id, line_no, start, CAST(length(line) AS INTEGER) AS size,
                  md5(lower(regexp_replace(trim(line, ' '), '[ \t]+', ' ', 'g'))) AS digest FROM lines WHERE length(line) >= 40)
 SELECT doc_id, line_no, start, size, digest, row_number() OVER (PARTITION BY digest ORDER BY doc_id, line_no) = 1 AS keep FROM units
+""",
+    "p8_left": r"""
+WITH arr AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, i, a[i] AS line, coalesce(sum(length(a[i]) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM arr, unnest(range(1, len(a) + 1)) AS u(i)),
+k AS (SELECT *, length(line) < 40 OR row_number() OVER (PARTITION BY length(line) >= 40, md5(lower(regexp_replace(trim(line, ' '), '[ \t]+', ' ', 'g'))) ORDER BY doc_id, i) = 1 AS keep FROM lines),
+r AS (SELECT *, sum(CASE WHEN keep THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run, max(i) OVER (PARTITION BY doc_id) AS last FROM k),
+p AS (SELECT doc_id, min(start) AS s, max(start + length(line) + CASE WHEN i < last THEN 1 ELSE 0 END) AS e FROM r WHERE keep GROUP BY doc_id, run),
+j AS (SELECT doc_id, string_agg(CAST(s AS VARCHAR) || ':' || CAST(e AS VARCHAR) || ':' || md5(substr(text, CAST(s AS BIGINT) + 1, CAST(e - s AS BIGINT))), ' ' ORDER BY s) AS pieces FROM p JOIN documents USING (doc_id) WHERE e > s GROUP BY doc_id),
+c AS (SELECT doc_id, CAST(count(*) AS INTEGER) AS n_removed, CAST(sum(length(line)) AS INTEGER) AS removed_chars FROM k WHERE NOT keep GROUP BY doc_id)
+SELECT doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars, coalesce(pieces, '') AS pieces FROM documents LEFT JOIN j USING (doc_id) LEFT JOIN c USING (doc_id)
 """,
 }
