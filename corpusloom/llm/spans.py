@@ -199,7 +199,7 @@ def span_meetings(df: DataFrame, text_col: str = "text", span: int = SPAN, unit:
     many = meeting.groupBy("u").agg(F.countDistinct("h64").alias("n")).filter(F.col("n") > HOT).select("u")
     doubled = texts.groupBy("h64").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("h64")
     # Aggregating by the class keeps one text of each, however many copies there are.
-    wanted = meeting.select("h64").unionByName(doubled).distinct()
+    wanted = stage(meeting.select("h64").unionByName(doubled).distinct(), "span-wanted")  # of known size, so texts needn't be shuffled to it if it is small
     held = stage(texts.join(wanted, "h64", "left_semi").groupBy("h64", "cls").agg(F.first("text").alias("text")), "span-texts")
     around = meeting.join(many, "u").groupBy("h64").agg(F.collect_set("pos").alias("at"))
 
