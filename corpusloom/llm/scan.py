@@ -1,7 +1,9 @@
 """Noise in text from scanned pages: found and repaired into continuous paragraphs.
 
 1. Corpus statistics: how often each word stands, and how often each short line stands at the edge of a page. A short line
-   that stands (nearly) always at an edge, several times over, is a running header; headings stand anywhere.
+   that stands (nearly) always at an edge, several times over, is a running header, and so is a line of a number (by its
+   shape); headings stand anywhere. In a document, a short line at the edges of several pages that is no heading of the corpus is a
+   running header, and numbers at the edges that grow as the pages do are page numbers. Pages are peeled from either end.
 2. Running headers and page numbers are taken out, so that a word or sentence broken by a page runs on.
 3. A decoder reads doubtful stretches (words broken at a line's end, words that look like a misread of a far more frequent
    one, neighbouring unknown fragments) as a character stream without lines: a path through a trie of the corpus's
@@ -31,10 +33,11 @@ from . import mojibake
 
 #: A record is noisy if its evidence comes to this many places.
 LEAST_EVIDENCE = 3
-#: Words kept of the corpus: at most this many, each this often at least, or this share of all words.
-WORDS, WORD_LEAST, WORD_SHARE = 1 << 18, 8, 1e-6
-#: Lines kept, and when one is a header: share of its places at an edge, and places.
-LINES, EDGE_SHARE, EDGE_LEAST = 1 << 17, 0.97, 3
+#: Words kept of the corpus: so often at least, and this share of all words, so a million at most (natural text has about a tenth of that).
+WORD_LEAST, WORD_SHARE = 8, 1e-6
+#: When a line is a header of the corpus: share of its places at an edge; places; share of all lines that may be one, so 2**17 at
+#: most. Rarer running headers are found in their own document, where they stand on several pages.
+EDGE_SHARE, EDGE_LEAST, LINE_SHARE = 0.97, 3, 2.0**-17
 
 # Groups of characters that a reader of scanned pages takes for each other (read, printed).
 CONFUSIONS = (
@@ -60,17 +63,44 @@ _PAGE_NUMBER = re.compile(r"^\s*[-–—]\s*\d{1,4}\s*[-–—]\s*$")
 _BESIDE = re.compile(r"^\s*(?:\d{1,4}\s{2,}(\S.*)|(\S.*?)\s{2,}\d{1,4})\s*$")
 _HEADS = re.compile(r"^[^\W\d_a-zа-яà-öø-ÿ]{2,}(?:\s+[^\W\d_a-zа-яà-öø-ÿ]\.?){1,4}$")
 _DIGITS = re.compile(r"\d+")
+_SHORT_LINE = re.compile(r"^(?!.*[^\W\d_]{3})(?=.*\d)\S.{0,11}$|^[ivxlc]{1,8}$")
+_ROMAN = re.compile(r"^[ivxlc]+$")
 
 
 def line_key(line: str) -> str | None:
-    """What all printings of a header have in common; null for lines that can't be one."""
+    """What all printings of a header have in common, or the shape of a line of a number; null for lines that can't be either."""
     line = line.strip()
+    if _SHORT_LINE.match(line):
+        return "=" + ("r" if _ROMAN.match(line) else _DIGITS.sub("#", line))
     if not 3 <= len(line) <= 60 or line[-1] in ".,;:" or not (line[0].isupper() or line[0].isdigit()):
         return None
     key = _DIGITS.sub("#", line).replace(" ", "").strip("#,").lower()
     return key if len(key) >= 3 and not key.replace("#", "").replace(".", "").replace(",", "") == "" else None
 
 
+# What stands for each other in a header read twice.
+_ALIKE = (("0", "o"), ("1", "l"), ("|", "l"), ("i", "l"), ("5", "s"), ("@", "a"), ("rn", "m"), ("nn", "m"), ("vv", "w"), ("ll", "h"), ("cl", "d"), ("c", "e"), ("t", "f"))
+
+
+def likeness(key: str) -> str:
+    """One form of all readings of a header within the common confusions."""
+    for a, b in _ALIKE:
+        key = key.replace(a, b)
+    return key
+
+
+def page_numbers(pages: list[list[str]]) -> set[tuple[int, int]]:
+    """(page, line) of the numbers alone at an edge that grow as the pages do, on two pages at least."""
+    found: dict[int, list[tuple[int, int]]] = {}
+    for p, lines in enumerate(pages):
+        for k in sorted({0, 1, len(lines) - 2, len(lines) - 1} & set(range(len(lines)))):
+            text = lines[k].strip()
+            if _SHORT_LINE.match(text) and len(numbers := _DIGITS.findall(text)) == 1 and len(numbers[0]) < 5:
+                found.setdefault(int(numbers[0]) - p, []).append((p, k))
+    best = max(found.values(), key=lambda x: len({p for p, _ in x}), default=[])
+    return set(best) if len({p for p, _ in best}) > 1 else set()
+
+
 def edges(lines: list[str]) -> list[bool]:
     """Which lines are the first or last two of their page."""
     out = [False] * len(lines)
@@ -88,8 +118,8 @@ def edges(lines: list[str]) -> list[bool]:
 class Lexicon:
     """The corpus's words with their counts and a trie of them: the prefixes, each with the count of the most frequent word under it."""
 
-    def __init__(self, counts: dict[str, int], total: int, headers: frozenset[str]) -> None:
-        self.counts, self.total, self.headers = counts, max(total, 1), headers
+    def __init__(self, counts: dict[str, int], total: int, headers: frozenset[str], headings: frozenset[str] = frozenset()) -> None:
+        self.counts, self.total, self.headers, self.headings = counts, max(total, 1), headers, headings
         self.log_total = math.log(self.total)
         self.prefixes: dict[str, int] = {}
         for word, n in sorted(counts.items(), key=lambda x: (x[1], x[0])):
@@ -294,24 +324,52 @@ class Lexicon:
             at, evidence = end, evidence + found
         return "".join([*parts, body[at:]]), evidence
 
-    def is_header(self, line: str) -> bool:
-        key = line_key(line)
-        return key is not None and key in self.headers
-
     def strip(self, lines: list[str]) -> tuple[list[str], int]:
         """(lines without running headers and page numbers, how many those were)."""
-        edge = edges(lines)
-        out, gone = [], 0
-        own = Counter(k for line, e in zip(lines, edge) if e and _HEADS.match(line.strip()) and (k := line_key(line)))
-        for line, e in zip(lines, edge):
-            if e:
-                beside = _BESIDE.match(line)
-                text = (beside.group(1) or beside.group(2)).strip() if beside else line.strip()
-                if _PAGE_NUMBER.match(line) or self.is_header(text) or (_HEADS.match(text) and (beside or own[line_key(line)] > 1 or len(text) > 3)):
-                    gone += 1
-                    continue
-            out.append(line)
-        return out, gone
+        where: list[list[int]] = [[]]  # the lines of each page
+        for i, line in enumerate(lines):
+            if line[:1] == "[" and _MARKER.match(line):
+                where.append([])
+            elif line.strip():
+                where[-1].append(i)
+        where = [x for x in where if x]
+        pages = [[lines[i] for i in x] for x in where]
+        numbers = page_numbers(pages)
+
+        def bare(line: str) -> str:
+            beside = _BESIDE.match(line)
+            return (beside.group(1) or beside.group(2)).strip() if beside else line.strip()
+
+        # Lines that stand at the edges of several pages of this text and nowhere within one; a passage printed twice goes on alike, a header doesn't.
+        own: dict[str, set[str]] = {}
+        inside = set()
+        for p, page in enumerate(pages):
+            for k, line in enumerate(page):
+                if len(line) <= 70 and (key := line_key(bare(line))) is not None and key[0] != "=":
+                    if min(k, len(page) - 1 - k) < 2:
+                        own.setdefault(likeness(key), set()).add(page[2 if k < 2 else -3] if len(page) > 2 else str(p))
+                    else:
+                        inside.add(key)
+
+        sizes = sorted(len(x) for page in pages for x in page) or [0]
+        width = sizes[int(0.8 * (len(sizes) - 1))]  # a full line may stand at an edge as often as its work was stored
+
+        def goes(p: int, k: int) -> bool:
+            line = pages[p][k]
+            text = bare(line)
+            key = line_key(text)
+            if (p, k) in numbers or _PAGE_NUMBER.match(line) or _BESIDE.match(line) or key is not None and key in self.headers and (len(text) <= 0.85 * width or text.upper() == text):
+                return True
+            return key is not None and key[0] != "=" and (len(own.get(likeness(key), ())) > 1 and key not in inside and key not in self.headings or _HEADS.match(text) is not None and len(text) > 3)
+
+        gone: set[int] = set()
+        for p, page in enumerate(pages):
+            for order in (range(len(page)), range(len(page) - 1, -1, -1)):
+                for k in order:
+                    if len(page[k]) > 70 or where[p][k] in gone or not goes(p, k):
+                        break
+                    gone.add(where[p][k])
+        return [line for i, line in enumerate(lines) if i not in gone], len(gone)
 
     def repair(self, text: str) -> tuple[str, int]:
         """(text without scan noise, still in its lines; evidence found)."""
@@ -336,7 +394,8 @@ class Lexicon:
             if fixed is not None:
                 fixes[token] = fixed[0]
         if fixes:
-            body, misread = re.subn(r"(?<![\[\w@|])(?:" + "|".join(map(re.escape, fixes)) + r")(?![\]\w@|])", lambda m: fixes[m.group()], body)
+            misread = sum(token in fixes for token in _TOKEN.findall(body))
+            body = _TOKEN.sub(lambda m: fixes.get(m.group(), m.group()), body)
         body, respaced = self.respace(body)
         return body, evidence + broken + misread + respaced
 
@@ -385,19 +444,22 @@ def _together(a: str, b: str, gap: bool, width: int) -> float:
     return price + (3.0 if len(a) < 45 and not ends and not low and len(a) < 0.6 * width else 0.0)  # a heading doesn't run into text
 
 
-def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, frozenset[str]]:
-    """(word counts, number of words, header lines) of all texts. Every word and line is summed over all tasks before any is left out; a bounded number comes back."""
+def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, frozenset[str], frozenset[str]]:
+    """(word counts, number of words, header lines, lines that stand within pages too) of all texts.
+
+    Every word and line is summed over all tasks before any is left out; by the shares a bounded number comes back.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[str] = Counter()
         inside: Counter[str] = Counter()
         edge: Counter[str] = Counter()
-        total = 0
+        total = keyed = 0
 
         def out(last: bool) -> pa.RecordBatch:
             rows = [("w", w, n, 0) for w, n in words.items()]
             rows += [("l", k, inside[k], edge[k]) for k in inside.keys() | edge.keys()]
-            rows += [("t", "", total, 0)] * last
+            rows += [("t", "", total, keyed)] * last
             for c in (words, inside, edge):
                 c.clear()
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["kind", "key", "n", "e"])
@@ -414,17 +476,19 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
                     beside = _BESIDE.match(line) if e else None
                     if (key := line_key((beside.group(1) or beside.group(2)) if beside else line)) is not None:
                         (edge if e else inside)[key] += 1
+                        keyed += 1
                 if len(words) + len(inside) + len(edge) > 1_000_000:
                     yield out(False)
         yield out(True)
 
     counted = texts.select(text_col).mapInArrow(count, "kind string, key string, n bigint, e bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
     counted = stage(counted.filter((F.col("kind") == "t") | (F.col("n") + F.col("e") >= EDGE_LEAST)), "scan-counts")
-    total = sum(r["n"] for r in counted.filter("kind = 't'").collect())
-    least = max(WORD_LEAST, int(total * WORD_SHARE))
-    words = counted.filter((F.col("kind") == "w") & (F.col("n") >= least)).orderBy(F.desc("n"), "key").limit(WORDS).collect()
-    heads = counted.filter((F.col("kind") == "l") & (F.col("e") >= EDGE_LEAST) & (F.col("e") >= EDGE_SHARE * (F.col("n") + F.col("e")))).orderBy(F.desc("e"), "key").limit(LINES).collect()
-    return {r["key"]: r["n"] for r in words}, total, frozenset(r["key"] for r in heads)
+    whole = counted.filter("kind = 't'").agg(F.sum("n").alias("n"), F.sum("e").alias("e")).first()
+    total, least_line = whole["n"] or 0, max(EDGE_LEAST, (whole["e"] or 0) * LINE_SHARE)
+    words = counted.filter((F.col("kind") == "w") & (F.col("n") >= max(WORD_LEAST, total * WORD_SHARE))).select("key", "n").toArrow()
+    lines = counted.filter((F.col("kind") == "l") & (F.col("n") + F.col("e") >= least_line)).select("key", (F.col("e") >= EDGE_SHARE * (F.col("n") + F.col("e"))).alias("edge")).toArrow().to_pylist()
+    heads, inner = (frozenset(r["key"] for r in lines if r["edge"] == edge) for edge in (True, False))
+    return dict(zip(words.column("key").to_pylist(), words.column("n").to_pylist())), total, heads, inner
 
 
 _lexicons: dict[str, Lexicon] = {}

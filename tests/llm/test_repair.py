@@ -136,6 +136,23 @@ def test_noise_is_found_and_taken_out(refs):
     assert lex.fix(word.replace("m", "rn", 1)) == (word, 1) and lex.fix(word) is None and lex.fix("Zqm66l3O") is None
 
 
+def test_running_headers_and_page_numbers_of_one_document(refs):
+    lex = lexicon(refs)
+    lex.headings = frozenset({scan.line_key("Material and methods")})
+    bodies = [wrapped(" ".join(refs["en"][5 * k : 5 * k + 5]).split()) for k in range(4)]
+
+    def text(tops, ends=("", "", "", "")):
+        return "\n\n".join("\n".join(x for x in (f"[Page {k + 1}]", tops[k], *bodies[k], ends[k]) if x) for k in range(4))
+
+    assert lex.repair(text(["72   Goka E", "On the spiders   73", "74   Goka E", "On the spiders   75"]))[1] == 4
+    assert lex.repair(text(["Shapué V L", "", "Sliapué V L", ""], ["31", "32", "33", "34"]))[1] == 6
+    assert lex.repair(text(["Material and methods"] * 4))[1] == 0  # a heading printed again and again
+    assert lex.repair(text(["12.5", "II", "4", "19"], ["IV", "7", "3.1", "II"]))[1] == 0  # columns of figures
+    assert scan.line_key("p. 384") == "=p. #" and scan.line_key("xiv") == "=r" and scan.line_key("IV") is None
+    doubled = "\n".join(["[Page 1]", *bodies[0], "[Page 2]", *bodies[0]])  # a passage printed twice is no header
+    assert lex.repair(doubled)[1] == 0
+
+
 def test_every_listed_confusion_is_looked_up():
     words = {"white": 500, "field": 900, "ficld": 1, "under": 500, "spine": 500, "hind": 500, "found": 900, "fauna": 400, "head": 500, "margin": 500, "spinneret": 500}
     lex = scan.Lexicon(words, 10_000, frozenset())
@@ -175,7 +192,7 @@ def test_statistics_dont_depend_on_the_splits(spark):
     texts = [f"[Page 1]\n{head if k % 5 == 0 else ''}\n{heading if k < 4 else 'An opening'}\n{body}\n{heading if k >= 4 else 'Some line'}\n{body}" for k in range(20)]
     df = spark.createDataFrame([(t,) for t in texts], "full_text string")
     one, many = (scan.statistics(df.repartition(n), "full_text") for n in (1, 20))
-    assert one == many and scan.line_key(head) in many[2] and scan.line_key(heading) not in many[2]
+    assert one == many and scan.line_key(head) in many[2] and scan.line_key(heading) in many[3] and scan.line_key(heading) not in many[2]
 
 
 def test_scan_operator(spark, refs):
