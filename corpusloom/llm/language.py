@@ -222,6 +222,7 @@ def segments(df: DataFrame, refs: DataFrame, text_col: str = "text", repair: moj
         if r["lang"] and r["sample"]:
             samples.setdefault(r["lang"], []).append(r["sample"])
     shared = mojibake.Shared(df.sparkSession, samples)
+    clean = mojibake.clean_pattern(alphabet) if alphabet else None
     made = ("start", "end", "language", "confidence")
     kept = [c for c in df.columns if c not in made and c != text_col]
     fields = [df.schema[c] for c in kept]
@@ -234,7 +235,7 @@ def segments(df: DataFrame, refs: DataFrame, text_col: str = "text", repair: moj
         restorer = mojibake.restorer_of(repair) if repair else None
 
         def ready(text: str | None) -> str:
-            if restorer and text and alphabet and not alphabet.issuperset(text) and restorer.chains(mojibake.odd_words(text)):
+            if restorer and text and clean and not clean.fullmatch(text) and restorer.chains(mojibake.odd_words(text)):
                 return restorer.restore(text)[0]
             return text or ""
 

@@ -54,7 +54,9 @@ for _read, _printed in CONFUSIONS:
     BY_FIRST.setdefault(_read[0], []).append((_read, _printed))
 
 
-_TOKEN = re.compile(r"(?<![\[\w@|])[\w@|]*[^\W\d_][\w@|]*(?![\]\w@|])")
+_PIECES = re.compile(r"(\[?[\w@|]+\]?)")
+_LETTER = re.compile(r"[^\W\d_]")
+_RUN = re.compile(r"\w+")
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _MARKER = re.compile(r"^\[[^\]\n]{1,80}\]$")
 _HYPHEN = re.compile(r"[-\xad‐¬]\n(\s*\[[^\]\n]{1,80}\]\n)?([\w@|]*[^\W\d_][\w@|]*)")
@@ -70,9 +72,12 @@ _ROMAN = re.compile(r"^[ivxlc]+$")
 def line_key(line: str) -> str | None:
     """What all printings of a header have in common, or the shape of a line of a number; null for lines that can't be either."""
     line = line.strip()
-    if _SHORT_LINE.match(line):
+    n = len(line)
+    if n > 60:
+        return None
+    if n <= 12 and _SHORT_LINE.match(line):
         return "=" + ("r" if _ROMAN.match(line) else _DIGITS.sub("#", line))
-    if not 3 <= len(line) <= 60 or line[-1] in ".,;:" or not (line[0].isupper() or line[0].isdigit()):
+    if n < 3 or line[-1] in ".,;:" or not (line[0].isupper() or line[0].isdigit()):
         return None
     key = _DIGITS.sub("#", line).replace(" ", "").strip("#,").lower()
     return key if len(key) >= 3 and not key.replace("#", "").replace(".", "").replace(",", "") == "" else None
@@ -126,6 +131,7 @@ class Lexicon:
             for k in range(1, len(word) + 1):
                 self.prefixes[word[:k]] = n
         self.most = max(counts.values(), default=0)
+        self.often = max(40, 2e-5 * self.total)  # how often a word stands that tokens are put together or parted for
         self.known: dict[str, tuple[str, int] | None] = {}
         self.breaks: dict[str, tuple[str, int]] = {}
         self.stretches: dict[str, tuple[str, int]] = {}
@@ -267,6 +273,46 @@ class Lexicon:
     def doubtful(self, token: str) -> bool:
         return token not in self.counts and sum(map(str.isalpha, token)) > 1
 
+    def respaceable(self, stream: str) -> bool:
+        """Whether words that stand often, misread or not, cover tokens of the stream with a blank left out or put in: nothing else can change it."""
+        counts, prefixes, often, n = self.counts, self.prefixes, self.often, len(stream)
+        tried: set[int] = set()
+        starts, before, at = [], None, 0
+        for token in re.split(r"\s", stream):
+            if self.doubtful(token):  # some token of what changes is doubtful; at most two tokens are put together
+                starts += [at, *(at + k + 1 for k, c in enumerate(token[:-1]) if not c.isalnum())]
+                if before is not None:
+                    starts += [before[0], *(before[0] + k + 1 for k, c in enumerate(before[1][:-1]) if not c.isalnum())]
+            before = (at, token)
+            at += len(token) + 1
+        while starts:
+            begin = starts.pop()
+            if begin in tried:
+                continue
+            tried.add(begin)
+            todo = [(begin, "", 0, False)]
+            inside = begin > 0 and stream[begin - 1].isalnum()  # a word begun without a blank
+            while todo:
+                j, prefix, used, merged = todo.pop()
+                if prefix and counts.get(prefix, 0) >= often:
+                    if j == n or not stream[j].isalnum():
+                        if merged or inside:
+                            return True
+                    else:
+                        starts.append(j)
+                if j == n:
+                    continue
+                d = stream[j]
+                if prefixes.get(prefix + d, 0) >= often:
+                    todo.append((j + 1, prefix + d, used, merged))
+                if used < 3:
+                    for read, printed in BY_FIRST.get(d, ()):
+                        if prefixes.get(prefix + printed, 0) >= often and stream.startswith(read, j):
+                            todo.append((j + len(read), prefix + printed, used + 1, merged))
+                    if prefix and d in " \n" and not merged:
+                        todo.append((j + 1, prefix, used + 1, True))
+        return False
+
     def stretch(self, stream: str) -> tuple[str, int]:
         """(text, evidence) of tokens beside each other: words with a blank or line end in them are put together, words run together parted.
 
@@ -276,9 +322,9 @@ class Lexicon:
         """
         found = self.stretches.get(stream)
         if found is None:
-            least, out, evidence = max(40, 2e-5 * self.total), [], 0
+            least, out, evidence = self.often, [], 0
             groups: list[list[tuple[int, int, str, tuple[str, ...]]]] = []
-            for part in self.path(stream)[0]:
+            for part in self.path(stream)[0] if self.respaceable(stream) else ():
                 if groups and "split" in part[3]:
                     groups[-1].append(part)
                 else:
@@ -294,35 +340,34 @@ class Lexicon:
                     evidence += ("\n" in read) + used.count("confusion")
                 else:
                     out.append(read)
-            found = (re.sub(r"\n\s", "\n", "".join(out)), evidence)
+            found = (re.sub(r"\n\s", "\n", "".join(out)), evidence) if groups else (stream, 0)
             if len(self.stretches) > 200_000:
                 self.stretches.clear()
             self.stretches[stream] = found
         return found
 
-    def respace(self, body: str) -> tuple[str, int]:
-        """(text with blanks put right, evidence): every run of doubtful tokens with the token before and behind it is decoded."""
-        runs: list[list[int]] = []  # (start, end) of stretches; those that touch are one
-        before, open_ = None, False
-        for m in _TOKEN.finditer(body):
-            start, end = m.span()
-            near = before is not None and start == before[1] + 1 and body[before[1]] in " \n"
-            odd = self.doubtful(m.group())
-            if odd:
-                since = before[0] if near else start
-                if runs and since <= runs[-1][1]:
-                    runs[-1][1] = end
-                else:
-                    runs.append([since, end])
-            elif near and open_:
-                runs[-1][1] = end
-            before, open_ = (start, end), odd
-        parts, at, evidence = [], 0, 0
-        for start, end in runs:
-            text, found = self.stretch(body[start:end])
-            parts += [body[at:start], text]
-            at, evidence = end, evidence + found
-        return "".join([*parts, body[at:]]), evidence
+    def candidate(self, token: str) -> bool:
+        """Whether a token may be scan noise: it has a letter and is no code in brackets."""
+        return token[0] != "[" and token[-1] != "]" and _LETTER.search(token) is not None
+
+    def respace(self, pieces: list[str], odd: set[str]) -> tuple[str, int]:
+        """(text with blanks put right, evidence): every run of odd tokens with the token before and behind it is decoded. pieces: what stands between tokens, and tokens, in turn."""
+        runs: list[list[int]] = []  # (first, last) token of stretches; those that touch are one
+        last = len(pieces) // 2 - 1
+        for i in [i for i, token in enumerate(pieces[1::2]) if token in odd]:
+            first = i - 1 if i and pieces[2 * i] in (" ", "\n") and self.candidate(pieces[2 * i - 1]) else i
+            until = i + 1 if i < last and pieces[2 * i + 2] in (" ", "\n") and self.candidate(pieces[2 * i + 3]) else i
+            if runs and first <= runs[-1][1]:
+                runs[-1][1] = until
+            else:
+                runs.append([first, until])
+        out, at, evidence = [], 0, 0
+        for first, until in runs:
+            text, found = self.stretch("".join(pieces[2 * first + 1 : 2 * until + 2]))
+            out += pieces[at : 2 * first + 1]
+            out.append(text)
+            at, evidence = 2 * until + 2, evidence + found
+        return "".join(out + pieces[at:]), evidence
 
     def strip(self, lines: list[str]) -> tuple[list[str], int]:
         """(lines without running headers and page numbers, how many those were)."""
@@ -388,15 +433,22 @@ class Lexicon:
             at = m.end()
         if parts:
             body = "".join([*parts, body[at:]])
-        known, fixes = self.known, {}
-        for token in set(_TOKEN.findall(body)):
-            fixed = known[token] if token in known else self.fix(token)
-            if fixed is not None:
-                fixes[token] = fixed[0]
+        known, fixes, odd = self.known, {}, set()
+        pieces = _PIECES.split(body)
+        for token in set(pieces[1::2]):
+            if self.candidate(token):
+                fixed = known[token] if token in known else self.fix(token)
+                if fixed is not None:
+                    fixes[token] = fixed[0]
+                elif self.doubtful(token):
+                    odd.add(token)
         if fixes:
-            misread = sum(token in fixes for token in _TOKEN.findall(body))
-            body = _TOKEN.sub(lambda m: fixes.get(m.group(), m.group()), body)
-        body, respaced = self.respace(body)
+            misread = sum(token in fixes for token in pieces[1::2])
+            pieces[1::2] = [fixes.get(token, token) for token in pieces[1::2]]
+        if odd:
+            body, respaced = self.respace(pieces, odd)
+        else:
+            body, respaced = "".join(pieces), 0
         return body, evidence + broken + misread + respaced
 
 
@@ -457,7 +509,13 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
         total = keyed = 0
 
         def out(last: bool) -> pa.RecordBatch:
-            rows = [("w", w, n, 0) for w, n in words.items()]
+            nonlocal total
+            real: Counter[str] = Counter()
+            for run, n in words.items():
+                for word in (run,) if run.isalpha() and len(run) > 1 else _WORD.findall(run):
+                    real[word] += n
+            total += sum(real.values())
+            rows = [("w", w, n, 0) for w, n in real.items()]
             rows += [("l", k, inside[k], edge[k]) for k in inside.keys() | edge.keys()]
             rows += [("t", "", total, keyed)] * last
             for c in (words, inside, edge):
@@ -468,9 +526,7 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
-                found = _WORD.findall(text)
-                total += len(found)
-                words.update(found)
+                words.update(_RUN.findall(text))
                 lines = text.split("\n")
                 for line, e in zip(lines, edges(lines)):
                     beside = _BESIDE.match(line) if e else None
@@ -508,7 +564,7 @@ def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None
     """
     shared = mojibake.Shared(df.sparkSession, statistics(df, text_col))
     repair = mojibake.Shared(df.sparkSession, mojibake.train(df, samples, text_col)) if samples else None
-    alphabet = mojibake.clean_alphabet(samples) if samples else None
+    clean_text = mojibake.clean_pattern(mojibake.clean_alphabet(samples)) if samples else None
 
     @F.pandas_udf("struct<evidence:int,paragraphs:array<string>>")
     def judge(texts: pd.Series) -> pd.DataFrame:
@@ -518,7 +574,7 @@ def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None
             if not text:
                 out.append((0, None if text is None else []))
                 continue
-            if restorer and not alphabet.issuperset(text) and restorer.chains(mojibake.odd_words(text)):
+            if restorer and not clean_text.fullmatch(text) and restorer.chains(mojibake.odd_words(text)):
                 text = restorer.restore(text)[0]
             fixed, evidence = lexicon.repair(text)
             out.append((evidence, paragraphs(fixed if evidence >= LEAST_EVIDENCE else text) if with_text else None))
