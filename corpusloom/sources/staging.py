@@ -10,23 +10,56 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_swept: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine), one of this process."""
+    """The folder in spark.checkpoint.dir; where that is unset, one of this process, which only a master on this machine can read."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: a cluster needs a folder that all executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="corpusloom-")
         atexit.register(shutil.rmtree, _own["dir"], True)
     return "file://" + _own["dir"]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all staged tables of this application; DataFrames that read them can't be run any more. Done at exit as well."""
+    _delete(spark, f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}")
+
+
+def _sweep(spark: SparkSession, folder: str) -> None:
+    try:
+        _delete(spark, folder)
+    except Exception:  # the session's JVM may be gone  # noqa: BLE001
+        pass
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes `df` as a table in the shared folder and reads it back: the lineage ends there, so a lost executor costs
     no more than its own tasks, and several readers share one computation."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}"
+    if folder not in _swept:
+        _swept.add(folder)
+        atexit.register(_sweep, spark, folder)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "_staged_at", None):
+            _delete(df.sparkSession, path)
