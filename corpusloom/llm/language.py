@@ -1,7 +1,8 @@
 """Language of texts and of their stretches by cross-parsing against labelled samples.
 
 For each language a suffix automaton of its samples is laid out as a table. A sentence is parsed greedily into the longest
-phrases that stand somewhere in the samples; the language that needs the fewest phrases a letter wins. Over a text
+phrases that stand somewhere in the samples. A phrase of one language weighs the logarithm of the size of its samples (more text gives longer
+phrases), as in the entropy that cross-parsing estimates; the language that needs the fewest phrases so weighed wins. Over a text
 the sentences' phrase counts are joined by dynamic programming with a price for each change of language, which
 settles short and name-ridden sentences by their neighbours. Quotations and long parentheses are skipped. Batches of sentences are parsed side by
 side, one character of each at a time, in all languages at once.
@@ -28,8 +29,9 @@ SWITCH = 4.0
 LEAST_RUN = 120
 #: Longer sentences are parsed in parts of this many characters.
 PART = 400
-#: A run counts if its best language needs at most 1 - LEAST_CONFIDENCE of the phrases of the next.
-LEAST_CONFIDENCE = 0.2
+#: A run counts if its best language needs at most 1 - LEAST_CONFIDENCE of the phrases of the next. Of labelled sentences held out, put together
+#: to runs of LEAST_RUN characters, a twentieth has less; runs of names and figures alone have less as well.
+LEAST_CONFIDENCE = 0.38
 _BATCH_CHARS = 2_000_000
 
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+(?=[\"«“„(\[¿¡]*[^\W\d_a-zà-öø-ÿа-яё])|\s*\n\s*\n\s*|\n?\[[^\]\n]{1,60}\]\n")
@@ -113,6 +115,8 @@ class Parser:
             starts.append(base)
             base += n
         self.table = np.concatenate(tables).ravel()
+        sizes = np.log2([max(2, sum(map(len, samples[lang]))) for lang in self.langs] or [2])
+        self.weights = sizes / sizes.mean()
         self.starts = np.array(starts, np.int32)
 
     def codes(self, text: str) -> np.ndarray:
@@ -150,10 +154,21 @@ def sentences(text: str) -> list[tuple[int, int]]:
     if at < len(text):
         out.append((at, len(text)))
     if any(b - a > PART for a, b in out):
-        out = [(x, min(x + PART, b)) for a, b in out for x in range(a, b, PART)]
+        out = [part for a, b in out for part in _parts(text, a, b)]
     return out
 
 
+def _parts(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """A long sentence in parts of at most PART characters, cut at a blank if there is one in the second half of a part."""
+    out = []
+    while b - a > PART:
+        cut = text.rfind(" ", a + PART // 2, a + PART)
+        cut = a + PART if cut < 0 else cut
+        out.append((a, cut))
+        a = cut
+    return [*out, (a, b)]
+
+
 def _decode(costs: np.ndarray, first: np.ndarray, sizes: np.ndarray, switch: float) -> np.ndarray:
     """The cheapest language of each sentence, over texts of sizes[t] sentences from first[t]; costs: (sentences, languages)."""
     order = np.argsort(-sizes, kind="stable")
@@ -196,7 +211,7 @@ def segment(parser: Parser, texts: list[str], switch: float = SWITCH) -> list[np
     spans = np.array([ab for b in bounds for ab in b], np.int64).reshape(-1, 2)
     of = np.repeat(np.arange(len(texts)), sizes)
     start = spans[:, 0] + offset[of]
-    costs = parser.phrases(codes, start, spans[:, 1] - spans[:, 0]).T.astype(np.float64)
+    costs = parser.phrases(codes, start, spans[:, 1] - spans[:, 0]).T * parser.weights
     lang = _decode(costs, np.concatenate([[0], np.cumsum(sizes)[:-1]])[sizes > 0], sizes[sizes > 0], switch)
     edge = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (lang[1:] != lang[:-1])]))
     sums = np.add.reduceat(costs, edge, axis=0)
@@ -212,15 +227,16 @@ def segment(parser: Parser, texts: list[str], switch: float = SWITCH) -> list[np
 _parsers: dict[str, Parser] = {}
 
 
-def segments(df: DataFrame, refs: DataFrame, text_col: str = "text", repair: mojibake.Shared | None = None, alphabet: frozenset[str] | None = None) -> DataFrame:
+def segments(df: DataFrame, refs: DataFrame, text_col: str = "text", repair: mojibake.Shared | None = None, alphabet: frozenset[str] | None = None, most_samples: int = mojibake.MOST_SAMPLES) -> DataFrame:
     """Other columns of `df` and start, end, language, confidence: one row per stretch of one language. No shuffle.
 
-    refs: (lang, sample). The automata are as large as the samples, so they are broadcast.
+    refs: (lang, sample), of which about `most_samples` characters a language are taken; the automata made of them are
+    as large, which bounds what is broadcast.
     """
     samples: dict[str, list[str]] = {}
-    for r in refs.select("lang", "sample").collect():
-        if r["lang"] and r["sample"]:
-            samples.setdefault(r["lang"], []).append(r["sample"])
+    for lang, text in mojibake.bounded_samples(refs, "lang", "sample", most_samples):
+        if lang:
+            samples.setdefault(lang, []).append(text)
     shared = mojibake.Shared(df.sparkSession, samples)
     clean = mojibake.clean_pattern(alphabet) if alphabet else None
     made = ("start", "end", "language", "confidence")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.sources.staging import stage
+from corpusloom.sources.staging import discard, stage
 
 from .copies import expand
 
@@ -319,6 +319,7 @@ def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
         share = F.when((F.col("field") == field) & (F.col("kind") == kind + 1), n * (WORD_SHARE if kind == 0 else SEQUENCE_SHARE)).otherwise(share)
     # By their shares at most 2**17 words and 2**18 sequences a field come back.
     top = counted.filter("kind IN (1, 3)").filter(F.col("n") >= share).toArrow()
+    discard(counted)
     field, kind, h, n = (top.column(c).to_numpy() for c in ("field", "kind", "h", "n"))
     words: dict[int, int] = {}
     for f, x, c in zip(field[kind == 1].tolist(), h[kind == 1].view(np.uint64).tolist(), n[kind == 1].tolist()):
@@ -402,6 +403,7 @@ def similar_classes(held: DataFrame, fields: list[Field]) -> DataFrame:
     # Classes that share 64 bits are looked at too.
     doubled = held.groupBy("h").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select(F.col("h").alias("a"), F.col("h").alias("b"))
     candidates = stage(candidates.filter(F.col("hits") >= depth_column("n")).select("a", "b").unionByName(doubled), "dup-candidates")
+    discard(met)
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("h")).distinct()
     texts = stage(held.join(wanted, "h", "left_semi").groupBy("h", "cls").agg(F.first("field").alias("field"), F.first("words").alias("words")), "dup-texts")
     both = candidates.join(texts.select(F.col("h").alias("a"), F.col("cls").alias("cls_a"), "field", F.col("words").alias("words_a")), "a").join(
@@ -472,6 +474,7 @@ def components(edges: DataFrame, a: str = "doc_a", b: str = "doc_b") -> DataFram
         step = labels.join(near, labels["id"] == near["a"]).select("id", F.least("g", "h").alias("g"), "n_links", F.col("g").alias("was"))
         jump = labels.select(F.col("id").alias("g"), F.col("g").alias("h"))
         step = stage(step.join(jump, "g").select("id", F.least("g", "h").alias("g"), "n_links", "was"), "labels")
+        discard(labels)
         if step.filter("g <> was").isEmpty():
             return step.select("id", F.col("g").alias("group_id"), "n_links")
         labels = step.drop("was")

@@ -2,18 +2,22 @@
 
 Defined results: an item without tokens (null, empty) takes no room and gets no container (null); an item over the
 capacity is cut into full parts and a rest; repeated rows are packed each for itself. Container numbers are unique
-over all groups. Ties in size are packed in the order of a hash of the id, so a run repeats.
+over all groups. Items are dealt into groups by a hash of id, part and, among equal rows, a running number, and ties in
+size are packed in the order of id and part, so the result doesn't depend on how the rows lie.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
 #: Parts packed by one task; a group wastes at most part of one container.
 GROUP = 20_000
+#: Equal rows numbered at once.
+BLOCK = 10_000
 
 
 def first_fit_decreasing(sizes: list[int], capacity: int = CAPACITY) -> list[int]:
@@ -52,20 +56,25 @@ def pack(df: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", capa
     """
     size = F.coalesce(df[size_col].cast("long"), F.lit(0))
     items = df.select(df[id_col].alias("id"), size.alias("n"))
-    parts = items.select(
-        "id", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / capacity).cast("int") - 1))).alias("part"), "n",
-    ).select("id", "part", (F.col("part").cast("long") * capacity).alias("offset"), F.least(F.lit(capacity), F.col("n") - F.col("part").cast("long") * capacity).alias("size"))
     n = df.count() if n_items is None else n_items
     groups = max(1, -(-n // group_size))
-    dealt = parts.withColumn("g", F.pmod(F.xxhash64("id", "part", F.monotonically_increasing_id() % 97), F.lit(groups)).cast("int"))
+    # Equal rows are counted before they are shuffled, and numbered in blocks, so an id that a third of all rows have is dealt out as well.
+    counted = items.groupBy("id", "n").agg(F.count("*").alias("copies"))
+    blocks = counted.select("id", "n", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / BLOCK))).alias("block"))
+    last = F.least(F.lit(BLOCK).cast("long"), F.col("copies") - F.col("block") * BLOCK) - 1
+    rows = blocks.select("id", "n", "block", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k"))
+    parts = rows.select("id", "n", (F.col("block") * BLOCK + F.col("k")).alias("copy"), F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / capacity).cast("int") - 1))).alias("part"))
+    offset = F.col("part").cast("long") * capacity
+    parts = parts.select("id", "part", offset.alias("offset"), F.least(F.lit(capacity), F.col("n") - offset).alias("size"), F.pmod(F.xxhash64("id", "part", "copy"), F.lit(groups)).cast("int").alias("g"))
+    dealt = parts.repartition(min(groups, 100_000), "g")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "id", "part"], ascending=[False, True, True], kind="stable")
-        full = rows["size"] > 0
-        bins = pd.Series(pd.NA, index=rows.index, dtype="Int64")
-        bins[full] = first_fit_decreasing(rows.loc[full, "size"].tolist(), capacity)
-        return rows.assign(container=bins * groups + rows["g"])[["id", "part", "offset", "size", "container"]]
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("size", "descending"), ("id", "ascending"), ("part", "ascending")])
+        sizes = rows.column("size").to_numpy()
+        full = int((sizes > 0).sum())  # they stand first
+        bins = np.array(first_fit_decreasing(sizes[:full].tolist(), capacity), np.int64) * groups + rows.column("g").to_numpy()[:full]
+        return pa.table([*(rows.column(c) for c in ("id", "part", "offset", "size")), pa.chunked_array([pa.array(bins, pa.int64()), pa.nulls(len(sizes) - full, pa.int64())])], names=["id", "part", "offset", "size", "container"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    packed = dealt.groupBy("g").applyInPandas(run, f"id {kind}, part int, offset bigint, size bigint, container bigint")
+    packed = dealt.groupBy("g").applyInArrow(run, f"id {kind}, part int, offset bigint, size bigint, container bigint")
     return packed.withColumnRenamed("id", id_col)

@@ -28,13 +28,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every chunk text; a key written again with another text keeps each version, under the digest of the text."""
-    chunks = _spread(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text")).withColumn("version", F.xxhash64("text"))
+    chunks = _spread(_t(spark, sf_dir, "chunks").select("doc_id", "chunk_idx", "text")).withColumn("version", F.md5("text"))
     pieces = split.split_oversized(chunks).select("doc_id", "chunk_idx", "version", "piece_idx", "start", "end", "piece", "n_pieces")
     return pieces.dropDuplicates(["doc_id", "chunk_idx", "version", "piece_idx"])
 
 
 def _samples(spark: SparkSession, sf_dir: str) -> list[str]:
-    return [r["sample"] for r in _t(spark, sf_dir, "lang_refs").select("sample").collect() if r["sample"]]
+    return [text for _, text in mojibake.bounded_samples(_t(spark, sf_dir, "lang_refs"), None, "sample")]
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@
 3. A decoder reads doubtful stretches (words broken at a line's end, words that look like a misread of a far more frequent
    one, neighbouring unknown fragments) as a character stream without lines: a path through a trie of the corpus's
    words may pass over hyphens and blanks (merges), start a word without a blank (splits) and read one group of
-   characters for another (confusions); unknown words have a price by length. The cheapest path is the text as printed.
+   characters for another (confusions), three such operations a word at most; unknown words have a price by length. The cheapest path is the text as printed.
 4. Paragraph boundaries are chosen by dynamic programming over the lines.
 
 Defined results: null texts stay null and empty ones empty, neither is noisy; page markers stay; names, numbers, codes in brackets and
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.sources.staging import stage
+from corpusloom.sources.staging import discard, stage
 
 from . import mojibake
 
@@ -55,6 +55,7 @@ for _read, _printed in CONFUSIONS:
 
 
 _PIECES = re.compile(r"(\[?[\w@|]+\]?)")
+_SPACE = re.compile(r"\s")
 _LETTER = re.compile(r"[^\W\d_]")
 _RUN = re.compile(r"\w+")
 _WORD = re.compile(r"[^\W\d_]{2,}")
@@ -135,6 +136,7 @@ class Lexicon:
         self.known: dict[str, tuple[str, int] | None] = {}
         self.breaks: dict[str, tuple[str, int]] = {}
         self.stretches: dict[str, tuple[str, int]] = {}
+        self.walks: dict[str, tuple[bool, list[tuple[str, int]]]] = {}
 
     def decode(self, stream: str) -> tuple[str, Counter[str], float]:
         """(text, operations used, cost) of the cheapest reading of a stream."""
@@ -273,12 +275,63 @@ class Lexicon:
     def doubtful(self, token: str) -> bool:
         return token not in self.counts and sum(map(str.isalpha, token)) > 1
 
+    def walk(self, token: str, begun: list[tuple[str, int]]) -> tuple[bool, list[tuple[str, int]]]:
+        """(whether a frequent word ends within the token, beginnings of frequent words alive at its end), read on from `begun` (beginning, operations)."""
+        counts, prefixes, often, n = self.counts, self.prefixes, self.often, len(token)
+        todo, alive, parted = [(0, prefix, used) for prefix, used in begun], [], False
+        restarted: set[int] = set()
+        while todo:
+            j, prefix, used = todo.pop()
+            if j and prefix and counts.get(prefix, 0) >= often and j < n and token[j].isalnum():
+                parted = True
+                if j not in restarted:
+                    restarted.add(j)
+                    todo.append((j, "", 0))
+            if j == n:
+                alive.append((prefix, used))
+                continue
+            d = token[j]
+            if prefixes.get(prefix + d, 0) >= often:
+                todo.append((j + 1, prefix + d, used))
+            if used < 3:
+                for read, printed in BY_FIRST.get(d, ()):
+                    if prefixes.get(prefix + printed, 0) >= often and token.startswith(read, j):
+                        todo.append((j + len(read), prefix + printed, used + 1))
+        return parted, alive
+
+    def alone(self, token: str) -> tuple[bool, list[tuple[str, int]]]:
+        """The walk of a token from its beginning, and from behind any sign in it."""
+        found = self.walks.get(token)
+        if found is None:
+            if len(self.walks) > 200_000:
+                self.walks.clear()
+            parted, alive = self.walk(token, [("", 0)])
+            for k, c in enumerate(token[:-1]):
+                if not c.isalnum():
+                    more = self.walk(token[k + 1 :], [("", 0)])
+                    parted, alive = parted or more[0], alive + more[1]
+            found = self.walks[token] = parted, alive
+        return found
+
+    def maybe_respaceable(self, tokens: list[str]) -> bool:
+        """False only if respaceable is: no odd token can be begun, or go on from the one before, as a frequent word."""
+        for k, token in enumerate(tokens):
+            if self.doubtful(token):
+                if any(self.alone(token)):
+                    return True
+                if k and (begun := [(prefix, used + 1) for prefix, used in self.alone(tokens[k - 1])[1] if prefix]) and any(self.walk(token, begun)):
+                    return True
+        return False
+
     def respaceable(self, stream: str) -> bool:
         """Whether words that stand often, misread or not, cover tokens of the stream with a blank left out or put in: nothing else can change it."""
         counts, prefixes, often, n = self.counts, self.prefixes, self.often, len(stream)
         tried: set[int] = set()
         starts, before, at = [], None, 0
-        for token in re.split(r"\s", stream):
+        tokens = _SPACE.split(stream)
+        if not self.maybe_respaceable(tokens):
+            return False
+        for token in tokens:
             if self.doubtful(token):  # some token of what changes is doubtful; at most two tokens are put together
                 starts += [at, *(at + k + 1 for k, c in enumerate(token[:-1]) if not c.isalnum())]
                 if before is not None:
@@ -515,12 +568,14 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
                 for word in (run,) if run.isalpha() and len(run) > 1 else _WORD.findall(run):
                     real[word] += n
             total += sum(real.values())
-            rows = [("w", w, n, 0) for w, n in real.items()]
-            rows += [("l", k, inside[k], edge[k]) for k in inside.keys() | edge.keys()]
-            rows += [("t", "", total, keyed)] * last
+            lines = list(inside.keys() | edge.keys())
+            key = [*real, *lines, *[""] * last]
+            n = [*real.values(), *(inside[k] for k in lines), *[total] * last]
+            e = [*[0] * len(real), *(edge[k] for k in lines), *[keyed] * last]
+            kind = [*["w"] * len(real), *["l"] * len(lines), *["t"] * last]
             for c in (words, inside, edge):
                 c.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["kind", "key", "n", "e"])
+            return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(key, pa.string()), pa.array(n, pa.int64()), pa.array(e, pa.int64())], names=["kind", "key", "n", "e"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -543,6 +598,7 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
     total, least_line = whole["n"] or 0, max(EDGE_LEAST, (whole["e"] or 0) * LINE_SHARE)
     words = counted.filter((F.col("kind") == "w") & (F.col("n") >= max(WORD_LEAST, total * WORD_SHARE))).select("key", "n").toArrow()
     lines = counted.filter((F.col("kind") == "l") & (F.col("n") + F.col("e") >= least_line)).select("key", (F.col("e") >= EDGE_SHARE * (F.col("n") + F.col("e"))).alias("edge")).toArrow().to_pylist()
+    discard(counted)
     heads, inner = (frozenset(r["key"] for r in lines if r["edge"] == edge) for edge in (True, False))
     return dict(zip(words.column("key").to_pylist(), words.column("n").to_pylist())), total, heads, inner
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusloom.sources.staging import stage
+from corpusloom.sources.staging import discard, stage
 
 from .copies import expand
 
@@ -196,11 +196,13 @@ def span_meetings(df: DataFrame, text_col: str = "text", span: int = SPAN, unit:
     # A digest is of use if two different texts hold it. Partial aggregates and a join keep a hot digest spread.
     shared = picked.groupBy("u").agg(F.min("h64").alias("lo"), F.max("h64").alias("hi")).filter("lo < hi").select("u")
     meeting = stage(picked.join(shared, "u").distinct(), "span-units")
+    discard(picked)
     many = meeting.groupBy("u").agg(F.countDistinct("h64").alias("n")).filter(F.col("n") > HOT).select("u")
     doubled = texts.groupBy("h64").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("h64")
     # Aggregating by the class keeps one text of each, however many copies there are.
     wanted = stage(meeting.select("h64").unionByName(doubled).distinct(), "span-wanted")  # of known size, so texts needn't be shuffled to it if it is small
     held = stage(texts.join(wanted, "h64", "left_semi").groupBy("h64", "cls").agg(F.first("text").alias("text")), "span-texts")
+    discard(wanted)
     around = meeting.join(many, "u").groupBy("h64").agg(F.collect_set("pos").alias("at"))
 
     def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

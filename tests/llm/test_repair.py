@@ -204,3 +204,33 @@ def test_scan_operator(spark, refs):
     assert got[1][0] and got[1][1] == 4 and not any("- 2 -" in p for p in got[1][2])
     assert got[2][:2] == (False, 0) and got[3] == (False, 0, None) and got[4] == (False, 0, []) and got[5] == (False, 0, ["[Page 1]"])
     assert scan.clean(df.limit(0)).count() == 0
+
+
+def test_text_garbled_again_and_again_is_restored(spark, data, refs):
+    full = spark.read.parquet(f"{data}/full_texts.parquet")
+    counts, margin = mojibake.train(full, [s for v in refs.values() for s in v], "full_text")
+    assert margin >= mojibake.MARGIN
+    text = garbled = " ".join(refs["fr"])
+    for _ in range(3):
+        garbled = garbled.encode().decode("latin_1")
+    assert mojibake.Restorer(counts, margin).restore(garbled)[0] == text
+
+
+def test_every_chain_that_makes_a_word_is_credited():
+    found = mojibake.candidates("Ã©tÃ©")
+    assert {"utf-8>cp1252", "utf-8>latin_1", "utf-8>cp1254"} <= set(found["été"])
+
+
+def test_labelled_rows_are_bounded_by_their_texts(spark):
+    df = spark.createDataFrame([("a", f"some text number {k}") for k in range(400)] + [("b", "short"), (None, "none"), ("c", None), ("c", "")], "lang string, sample string")
+    got = mojibake.bounded_samples(df, "lang", "sample", 2000)
+    assert got == mojibake.bounded_samples(df.repartition(7), "lang", "sample", 2000)
+    assert 500 < sum(len(t) for k, t in got if k == "a") < 4000 and {k for k, _ in got} == {None, "a", "b"}
+
+
+def test_unequal_samples_still_give_the_right_language(refs):
+    parser = language.Parser({k: v[::2] if k != "fr" else v[::2][:6] for k, v in refs.items()})
+    texts, want = zip(*[(s, k) for k, v in refs.items() for s in v[1::2]])
+    of, _, _, lang, _ = language.segment(parser, list(texts))
+    best = {int(o): parser.langs[x] for o, x in zip(of, lang)}
+    assert sum(best[i] == w for i, w in enumerate(want)) / len(want) >= 0.93

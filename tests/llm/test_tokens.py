@@ -81,3 +81,14 @@ def test_pack(spark):
     assert sum(full.values()) == total and len(full) <= total / 2048 * 1.15 + 5
     assert all(sorted(v) == sorted([2048, 2048, 904]) for i, v in parts.items() if dict(rows)[i] == 5000)
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_packing_doesnt_depend_on_how_rows_lie(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.randint(1, 3000)) for i in range(300)] + [(None, 700)] * 150 + [(7, 9)] * 20
+    runs = []
+    for n in (1, 7):
+        rng.shuffle(rows)
+        got = packing.pack(spark.createDataFrame(rows, "doc_id int, n_tokens bigint").repartition(n), group_size=60).collect()
+        runs.append(sorted((tuple(r) for r in got), key=repr))
+    assert runs[0] == runs[1] and len({r[4] % 8 for r in runs[0] if r[0] is None}) > 4  # an id of many rows is dealt out
