@@ -57,7 +57,6 @@ for _read, _printed in CONFUSIONS:
 _PIECES = re.compile(r"(\[?[\w@|]+\]?)")
 _SPACE = re.compile(r"\s")
 _LETTER = re.compile(r"[^\W\d_]")
-_RUN = re.compile(r"\w+")
 _WORD = re.compile(r"[^\W\d_]{2,}")
 _MARKER = re.compile(r"^\[[^\]\n]{1,80}\]$")
 _HYPHEN = re.compile(r"[-\xad‐¬]\n(\s*\[[^\]\n]{1,80}\]\n)?([\w@|]*[^\W\d_][\w@|]*)")
@@ -134,6 +133,7 @@ class Lexicon:
         self.most = max(counts.values(), default=0)
         self.often = max(40, 2e-5 * self.total)  # how often a word stands that tokens are put together or parted for
         self.known: dict[str, tuple[str, int] | None] = {}
+        self.judged: dict[str, str | None] = {}
         self.breaks: dict[str, tuple[str, int]] = {}
         self.stretches: dict[str, tuple[str, int]] = {}
         self.walks: dict[str, tuple[bool, list[tuple[str, int]]]] = {}
@@ -403,6 +403,17 @@ class Lexicon:
         """Whether a token may be scan noise: it has a letter and is no code in brackets."""
         return token[0] != "[" and token[-1] != "]" and _LETTER.search(token) is not None
 
+    def judge(self, token: str) -> str | None:
+        """The word a token was misread from, '' for a doubtful token, null for any other."""
+        word = None
+        if self.candidate(token):
+            fixed = self.fix(token)
+            word = fixed[0] if fixed is not None else "" if self.doubtful(token) else None
+        if len(self.judged) > 400_000:
+            self.judged.clear()
+        self.judged[token] = word
+        return word
+
     def respace(self, pieces: list[str], odd: set[str]) -> tuple[str, int]:
         """(text with blanks put right, evidence): every run of odd tokens with the token before and behind it is decoded. pieces: what stands between tokens, and tokens, in turn."""
         runs: list[list[int]] = []  # (first, last) token of stretches; those that touch are one
@@ -440,14 +451,12 @@ class Lexicon:
 
         # Lines that stand at the edges of several pages of this text and nowhere within one; a passage printed twice goes on alike, a header doesn't.
         own: dict[str, set[str]] = {}
-        inside = set()
         for p, page in enumerate(pages):
-            for k, line in enumerate(page):
-                if len(line) <= 70 and (key := line_key(bare(line))) is not None and key[0] != "=":
-                    if min(k, len(page) - 1 - k) < 2:
-                        own.setdefault(likeness(key), set()).add(page[2 if k < 2 else -3] if len(page) > 2 else str(p))
-                    else:
-                        inside.add(key)
+            for k in sorted({0, 1, len(page) - 2, len(page) - 1} & set(range(len(page)))):
+                if len(page[k]) <= 70 and (key := line_key(bare(page[k]))) is not None and key[0] != "=":
+                    own.setdefault(likeness(key), set()).add(page[2 if k < 2 else -3] if len(page) > 2 else str(p))
+        own = {key: goes_on for key, goes_on in own.items() if len(goes_on) > 1}
+        inside = {line_key(bare(line)) for page in pages for line in page[2:-2] if len(line) <= 70} if own else set()
 
         sizes = sorted(len(x) for page in pages for x in page) or [0]
         width = sizes[int(0.8 * (len(sizes) - 1))]  # a full line may stand at an edge as often as its work was stored
@@ -458,7 +467,7 @@ class Lexicon:
             key = line_key(text)
             if (p, k) in numbers or _PAGE_NUMBER.match(line) or _BESIDE.match(line) or key is not None and key in self.headers and (len(text) <= 0.85 * width or text.upper() == text):
                 return True
-            return key is not None and key[0] != "=" and (len(own.get(likeness(key), ())) > 1 and key not in inside and key not in self.headings or _HEADS.match(text) is not None and len(text) > 3)
+            return key is not None and key[0] != "=" and (likeness(key) in own and key not in inside and key not in self.headings or _HEADS.match(text) is not None and len(text) > 3)
 
         gone: set[int] = set()
         for p, page in enumerate(pages):
@@ -486,14 +495,14 @@ class Lexicon:
             at = m.end()
         if parts:
             body = "".join([*parts, body[at:]])
-        known, fixes, odd = self.known, {}, set()
+        judged, fixes, odd = self.judged, {}, set()
         pieces = _PIECES.split(body)
         for token in set(pieces[1::2]):
-            if self.candidate(token):
-                fixed = known[token] if token in known else self.fix(token)
-                if fixed is not None:
-                    fixes[token] = fixed[0]
-                elif self.doubtful(token):
+            word = judged[token] if token in judged else self.judge(token)
+            if word is not None:
+                if word:
+                    fixes[token] = word
+                else:
                     odd.add(token)
         if fixes:
             misread = sum(token in fixes for token in pieces[1::2])
@@ -549,8 +558,8 @@ def _together(a: str, b: str, gap: bool, width: int) -> float:
     return price + (3.0 if len(a) < 45 and not ends and not low and len(a) < 0.6 * width else 0.0)  # a heading doesn't run into text
 
 
-def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, frozenset[str], frozenset[str]]:
-    """(word counts, number of words, header lines, lines that stand within pages too) of all texts.
+def statistics(texts: DataFrame, text_col: str, clean: re.Pattern | None = None) -> tuple[tuple[dict[str, int], int, frozenset[str], frozenset[str]], dict[str, int]]:
+    """((word counts, number of words, header lines, lines that stand within pages too), trigram counts of texts that are `clean`) of all texts, in one pass.
 
     Every word and line is summed over all tasks before any is left out; by the shares a bounded number comes back.
     """
@@ -559,21 +568,23 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
         words: Counter[str] = Counter()
         inside: Counter[str] = Counter()
         edge: Counter[str] = Counter()
+        odd: Counter[str] = Counter()
         total = keyed = 0
 
         def out(last: bool) -> pa.RecordBatch:
             nonlocal total
             real: Counter[str] = Counter()
-            for run, n in words.items():
-                for word in (run,) if run.isalpha() and len(run) > 1 else _WORD.findall(run):
+            for token, n in words.items():
+                for word in (token,) if token.isalpha() and len(token) > 1 else _WORD.findall(token):
                     real[word] += n
             total += sum(real.values())
             lines = list(inside.keys() | edge.keys())
-            key = [*real, *lines, *[""] * last]
-            n = [*real.values(), *(inside[k] for k in lines), *[total] * last]
-            e = [*[0] * len(real), *(edge[k] for k in lines), *[keyed] * last]
-            kind = [*["w"] * len(real), *["l"] * len(lines), *["t"] * last]
-            for c in (words, inside, edge):
+            grams = mojibake.clean_trigrams(odd)
+            key = [*real, *grams, *lines, *[""] * last]
+            n = [*real.values(), *grams.values(), *(inside[k] for k in lines), *[total] * last]
+            e = [*[0] * (len(real) + len(grams)), *(edge[k] for k in lines), *[keyed] * last]
+            kind = [*["w"] * len(real), *["g"] * len(grams), *["l"] * len(lines), *["t"] * last]
+            for c in (words, inside, edge, odd):
                 c.clear()
             return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(key, pa.string()), pa.array(n, pa.int64()), pa.array(e, pa.int64())], names=["kind", "key", "n", "e"])
 
@@ -581,7 +592,9 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
-                words.update(_RUN.findall(text))
+                if clean:
+                    mojibake.count_clean(text, clean, odd)
+                words.update(text.split())  # no word runs over a blank
                 lines = text.split("\n")
                 for line, e in zip(lines, edges(lines)):
                     beside = _BESIDE.match(line) if e else None
@@ -593,14 +606,15 @@ def statistics(texts: DataFrame, text_col: str) -> tuple[dict[str, int], int, fr
         yield out(True)
 
     counted = texts.select(text_col).mapInArrow(count, "kind string, key string, n bigint, e bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
-    counted = stage(counted.filter((F.col("kind") == "t") | (F.col("n") + F.col("e") >= EDGE_LEAST)), "scan-counts")
+    counted = stage(counted.filter(F.col("kind").isin("t", "g") | (F.col("n") + F.col("e") >= EDGE_LEAST)), "scan-counts")
     whole = counted.filter("kind = 't'").agg(F.sum("n").alias("n"), F.sum("e").alias("e")).first()
     total, least_line = whole["n"] or 0, max(EDGE_LEAST, (whole["e"] or 0) * LINE_SHARE)
     words = counted.filter((F.col("kind") == "w") & (F.col("n") >= max(WORD_LEAST, total * WORD_SHARE))).select("key", "n").toArrow()
     lines = counted.filter((F.col("kind") == "l") & (F.col("n") + F.col("e") >= least_line)).select("key", (F.col("e") >= EDGE_SHARE * (F.col("n") + F.col("e"))).alias("edge")).toArrow().to_pylist()
+    grams = counted.filter("kind = 'g'").select("key", "n").toArrow().to_pydict() if clean else {"key": [], "n": []}
     discard(counted)
     heads, inner = (frozenset(r["key"] for r in lines if r["edge"] == edge) for edge in (True, False))
-    return dict(zip(words.column("key").to_pylist(), words.column("n").to_pylist())), total, heads, inner
+    return (dict(zip(words.column("key").to_pylist(), words.column("n").to_pylist())), total, heads, inner), dict(zip(grams["key"], grams["n"]))
 
 
 _lexicons: dict[str, Lexicon] = {}
@@ -618,9 +632,10 @@ def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None
 
     With `samples` of clean text, garbled texts are restored before they are judged.
     """
-    shared = mojibake.Shared(df.sparkSession, statistics(df, text_col))
-    repair = mojibake.Shared(df.sparkSession, mojibake.train(df, samples, text_col)) if samples else None
     clean_text = mojibake.clean_pattern(mojibake.clean_alphabet(samples)) if samples else None
+    known, grams = statistics(df, text_col, clean_text)
+    shared = mojibake.Shared(df.sparkSession, known)
+    repair = mojibake.Shared(df.sparkSession, mojibake.trained(grams, samples)) if samples else None
 
     @F.pandas_udf("struct<evidence:int,paragraphs:array<string>>")
     def judge(texts: pd.Series) -> pd.DataFrame:
