@@ -58,9 +58,11 @@ def partial_ratio(a: str | None, b: str | None, cutoff: float = 0.0) -> float |
     return best if best >= cutoff else 0.0
 
 
-def partial_ratio_udf(cutoff: float = 0.0):
-    @F.pandas_udf("double")
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([partial_ratio(x, y, cutoff) for x, y in zip(a, b)], dtype="float64")
+def partial_ratios_udf(cutoff: float = 0.0):
+    """(text, array of strings) to an array of scores; a null string has none."""
 
-    return score
+    @F.pandas_udf("array<double>")
+    def scores(texts: pd.Series, captions: pd.Series) -> pd.Series:
+        return pd.Series([None if cs is None else [partial_ratio(c, x, cutoff) for c in cs] for x, cs in zip(texts, captions)])
+
+    return scores

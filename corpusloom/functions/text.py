@@ -105,9 +105,12 @@ def truncate_utf8(c: Column | str, size: int = NAME_BYTES) -> Column:
     return F.when(F.octet_length(s) <= size, s).otherwise(F.element_at(F.filter(heads, lambda x: F.octet_length(x) <= size), -1))
 
 
-def file_name(base: Column | str, suffix: str = ".pdf", limit: int = NAME_LIMIT, size: int = NAME_BYTES) -> Column:
-    whole = F.concat(col(base), F.lit(suffix))
-    return F.when(F.octet_length(whole) > limit, F.concat(truncate_utf8(base, size), F.lit(suffix))).otherwise(whole)
+def file_name(base: Column | str, copy_no: Column | str | int = 0, suffix: str = ".pdf", limit: int = NAME_LIMIT, size: int = NAME_BYTES) -> Column:
+    """`base_n.pdf` for the n-th copy, `base.pdf` for the first. Of a name over the limit the base is cut, so copies stay apart."""
+    n = F.lit(copy_no) if isinstance(copy_no, int) else col(copy_no)
+    end = F.concat(F.when(n > 0, F.concat(F.lit("_"), n.cast("string"))).otherwise(F.lit("")), F.lit(suffix))
+    whole = F.concat(col(base), end)
+    return F.when(F.octet_length(whole) > limit, F.concat(truncate_utf8(base, size), end)).otherwise(whole)
 
 
 def url_join(base: Column | str, href: Column | str) -> Column:
@@ -119,10 +122,29 @@ def hrefs(html: Column | str) -> Column:
     return F.array_distinct(F.regexp_extract_all(col(html), F.lit('href="([^"]*)"'), F.lit(1)))
 
 
+def _cell(html: Column | str, label: str) -> Column:
+    return F.regexp_extract(col(html), rf"(?s)<td[^>]*>[^<]*\Q{label}\E[^<]*</td>\s*<td[^>]*>(.*?)</td>", 1)
+
+
 def labelled_cell(html: Column | str, label: str) -> Column:
     """Text of the table cell right of the one that holds `label`, without tags and outer blanks; null if there is none."""
-    found = F.regexp_extract(col(html), rf"(?s)<td[^>]*>[^<]*\Q{label}\E[^<]*</td>\s*<td[^>]*>(.*?)</td>", 1)
-    return F.nullif(strip(F.regexp_replace(found, "<[^>]*>", "")), F.lit(""))
+    return F.nullif(strip(F.regexp_replace(_cell(html, label), "<[^>]*>", "")), F.lit(""))
+
+
+def labelled_links(html: Column | str, label: str) -> Column:
+    """Link targets in the table cell right of the one that holds `label`, as they stand."""
+    return F.regexp_extract_all(_cell(html, label), F.lit('<a\\s[^>]*href="([^"]*)"'), F.lit(1))
+
+
+def species_titles(html: Column | str) -> Column:
+    """The emphasised names of a catalog page's species titles, in order."""
+    return F.regexp_extract_all(col(html), F.lit(r'(?s)<div[^>]*class="[^"]*species-title[^"]*"[^>]*>(?:(?!</div>).)*?<em[^>]*>(.*?)</em>'), F.lit(1))
+
+
+def reference_blocks(html: Column | str) -> Column:
+    """array<array<string>>: the link targets of each reference block of a catalog page, distinct, in the order they stand."""
+    blocks = F.slice(F.split(col(html), r'<div[^>]*class="[^"]*tax-ref[^"]*"[^>]*>'), 2, 1_000_000_000)
+    return F.transform(blocks, lambda x: F.array_distinct(F.regexp_extract_all(x, F.lit('<strong[^>]*>\\s*<a\\s[^>]*href="([^"]*)"'), F.lit(1))))
 
 
 def display(c: Column | str, size: int, none: str = "(no caption)") -> Column:

@@ -12,8 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text
-from corpusloom.functions.fuzzy import partial_ratio_udf
+from corpusloom.functions.fuzzy import partial_ratios_udf
 from corpusloom.operators.items import FIGURES, TABLES
+from corpusloom.sources.staging import stage
 
 FUZZY = 85
 KEY = ["doc_id", "chunk_idx"]
@@ -71,14 +72,21 @@ def dedup_across(chunks: DataFrame) -> DataFrame:
 def fuzzy_links(chunks: DataFrame, captions: DataFrame, threshold: float = FUZZY) -> DataFrame:
     """(doc_id, chunk_idx, pos, caption, picture_ref, score): captions found in a chunk's text that it doesn't refer to yet.
 
-    Captions meet the chunks of their own document only. A caption that stands in the text word for word scores 100 in the JVM;
-    only the others go to Python.
+    A chunk meets its document's captions as one array, so its text is shuffled and read once. A caption that stands in the text word
+    for word scores 100 in the JVM; only the others go to Python, and none where the threshold leaves nothing else.
     """
-    near = chunks.filter(F.coalesce("text", F.lit("")) != "").select(*KEY, "text", F.transform(_array("figures", FIGURES), lambda x: F.coalesce(x["picture_ref"], F.lit(""))).alias("refs")).join(captions, "doc_id")
-    near = near.filter((F.coalesce("caption", F.lit("")) != "") & ~F.array_contains("refs", F.col("picture_ref")))
-    inside = F.contains("text", F.col("caption"))
-    scored = near.withColumn("score", F.when(inside, 100.0).otherwise(partial_ratio_udf(threshold)(F.when(~inside, F.col("caption")), F.when(~inside, F.col("text")))))
-    return scored.filter(F.col("score") >= threshold).select(*KEY, "pos", "caption", "picture_ref", "score")
+    caps = captions.filter(F.coalesce("caption", F.lit("")) != "").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "caption", "picture_ref"))).alias("__c"))
+    near = chunks.filter(F.coalesce("text", F.lit("")) != "").select(*KEY, "text", F.transform(_array("figures", FIGURES), lambda x: F.coalesce(x["picture_ref"], F.lit(""))).alias("refs")).join(caps, "doc_id")
+    near = near.withColumn("__c", F.filter("__c", lambda c: ~F.array_contains("refs", c["picture_ref"]))).filter(F.size("__c") > 0)
+    inside = lambda c: F.contains(F.col("text"), c["caption"])
+    if threshold >= 100:
+        # What is the whole of a shorter text scores 100 as well.
+        scores = F.transform("__c", lambda c: F.when(inside(c) | F.contains(c["caption"], F.col("text")), 100.0))
+    else:
+        near = near.withColumn("__p", partial_ratios_udf(threshold)("text", F.transform("__c", lambda c: F.when(~inside(c), c["caption"]))))
+        scores = F.transform("__c", lambda c, i: F.when(inside(c), 100.0).otherwise(F.get("__p", i)))
+    scored = near.select(*KEY, F.explode(F.arrays_zip("__c", scores.alias("score"))).alias("x"))
+    return scored.filter(F.col("x.score") >= threshold).select(*KEY, "x.__c.pos", "x.__c.caption", "x.__c.picture_ref", "x.score")
 
 
 def inject(chunks: DataFrame, links: DataFrame) -> DataFrame:
@@ -102,7 +110,7 @@ def resolve_images(chunks: DataFrame, sidecars: DataFrame) -> DataFrame:
 
 
 def fallback_links(chunks: DataFrame, sidecars: DataFrame) -> DataFrame:
-    """(doc_id, chunk_idx, meta_path, caption, picture_ref, image_file): uncaptioned figures no chunk has, put into the first chunk of their page.
+    """(doc_id, chunk_idx, meta_path, caption, picture_ref, image_file): uncaptioned figures no chunk has, put into the first chunk of their page; their caption is empty.
 
     Sidecars without such a chunk are passed over; of a reference's others the first by path counts.
     """
@@ -111,8 +119,8 @@ def fallback_links(chunks: DataFrame, sidecars: DataFrame) -> DataFrame:
     loose = sidecars.filter((text.strip(F.coalesce("caption", F.lit(""))) == "") & (ref != "")).join(held, ["doc_id", "picture_ref"], "left_anti")
     first = chunks.select(*KEY, F.explode("page_numbers").alias("page_number")).groupBy("doc_id", "page_number").agg(F.min("chunk_idx").alias("chunk_idx"))
     image = F.concat(F.lit("images/"), F.regexp_replace(F.substring_index("meta_path", "/", -1), r"_meta\.json\z", ".png"))
-    placed = loose.join(first, ["doc_id", "page_number"]).groupBy("doc_id", "picture_ref").agg(F.min(F.struct("meta_path", "chunk_idx", F.coalesce("caption", F.lit("")).alias("caption"))).alias("x"))
-    return placed.select("doc_id", "x.chunk_idx", "x.meta_path", "x.caption", "picture_ref").withColumn("image_file", image)
+    placed = loose.join(first, ["doc_id", "page_number"]).groupBy("doc_id", "picture_ref").agg(F.min(F.struct("meta_path", "chunk_idx")).alias("x"))
+    return placed.select("doc_id", "x.chunk_idx", "x.meta_path", F.lit("").alias("caption"), "picture_ref").withColumn("image_file", image)
 
 
 def inject_fallback(chunks: DataFrame, links: DataFrame) -> DataFrame:
@@ -126,21 +134,22 @@ def postprocess(chunks: DataFrame, captions: DataFrame, sidecars: DataFrame, thr
     The order is fixed: fuzzy links, image files, duplicates in a chunk, duplicates across chunks (the first chunk wins, so a link may
     take a figure from a later chunk), figures by page. A second pass across chunks would change nothing.
     """
-    links = fuzzy_links(chunks, captions, threshold)
-    linked = inject(chunks, links)
-    resolved = resolve_images(linked, sidecars)
-    inner = dedup_in_chunk(resolved)
-    across = dedup_across(inner)
-    placed = fallback_links(across, sidecars)
-    count = lambda df, name: df.groupBy("doc_id").agg(F.count("*").alias(name))
-    size = lambda df, name: df.groupBy("doc_id").agg(F.sum(F.size("figures")).alias(name))
-    files = lambda df, name: df.groupBy("doc_id").agg(F.sum(F.size(F.filter("figures", lambda x: F.coalesce(x["image_file"], F.lit("")) != ""))).alias(name))
-    stats = chunks.select("doc_id").distinct()
-    new_links = links.select(*KEY, "picture_ref").distinct()
-    for part in (count(new_links, "fuzzy_injected"), files(linked, "__a"), files(resolved, "__b"), size(inner, "__c"), size(across, "__d"), count(placed, "fallback_injected")):
-        stats = stats.join(part, "doc_id", "left")
+    own = F.size(_array("figures", FIGURES))
+    files = F.size(F.filter(_array("figures", FIGURES), lambda x: F.coalesce(x["image_file"], F.lit("")) != ""))
+    # The counts travel with the chunks, and the state before anything crosses chunks is a table: nothing is computed twice.
+    linked = inject(chunks, fuzzy_links(chunks, captions, threshold).withColumnRenamed("score", "__s")).select(*KEY, own.alias("__linked"), files.alias("__files"), *[c for c in chunks.columns if c not in KEY])
+    before = chunks.select(*KEY, own.alias("__own"))
+    inner = dedup_in_chunk(resolve_images(linked, sidecars).withColumn("__files", files - F.col("__files")))
+    inner = stage(inner.withColumn("__inner", F.size("figures")), "chunks-inner")
+    across = dedup_across(inner.select(chunks.columns))
+    placed = stage(fallback_links(across, sidecars), "chunks-placed")
+    across = stage(across, "chunks-across")
+    first = inner.join(before, KEY).groupBy("doc_id").agg(F.sum(F.col("__linked") - F.col("__own")).alias("fuzzy_injected"), F.sum("__files").alias("image_files_resolved"), F.sum("__inner").alias("__inner"))
+    after = across.groupBy("doc_id").agg(F.sum(F.size("figures")).alias("__across"))
+    last = placed.groupBy("doc_id").agg(F.count("*").alias("fallback_injected"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
-    stats = stats.select("doc_id", zero("fuzzy_injected").alias("fuzzy_injected"), (zero("__b") - zero("__a")).alias("image_files_resolved"), (zero("__c") - zero("__d")).alias("cross_chunk_removed"), zero("fallback_injected").alias("fallback_injected"))
+    stats = first.join(after, "doc_id").join(last, "doc_id", "left").select(
+        "doc_id", zero("fuzzy_injected").alias("fuzzy_injected"), zero("image_files_resolved").alias("image_files_resolved"), (zero("__inner") - zero("__across")).alias("cross_chunk_removed"), zero("fallback_injected").alias("fallback_injected"))
     return {"chunks": inject_fallback(across, placed), "stats": stats}
 
 

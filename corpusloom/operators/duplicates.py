@@ -23,13 +23,6 @@ def readable(inventory: DataFrame) -> DataFrame:
     return inventory.filter(F.col("hash").isNotNull()).select("hash", "path", "ord")
 
 
-def groups(inventory: DataFrame) -> DataFrame:
-    """(hash, n, first_ord, paths): one row per hash, paths in the order of the inventory."""
-    return readable(inventory).groupBy("hash").agg(
-        F.count("*").alias("n"), F.min("ord").alias("first_ord"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "path"))), lambda x: x["path"]).alias("paths"))
-
-
 def sizes(inventory: DataFrame) -> DataFrame:
     """(hash, n, first_ord, keeper): the keeper is the first path without a number at its end, else the one with the least.
 
@@ -41,8 +34,8 @@ def sizes(inventory: DataFrame) -> DataFrame:
 
 
 def report(inventory: DataFrame) -> DataFrame:
-    """Hashes with more than one path."""
-    return groups(inventory).filter("n > 1")
+    """(hash, n, first_ord, path, ord) of hashes with more than one path, one row per path: a hash may have any number of them."""
+    return readable(inventory).join(sizes(inventory).filter("n > 1").select("hash", "n", "first_ord"), "hash")
 
 
 def export_order(inventory: DataFrame) -> DataFrame:
@@ -64,7 +57,7 @@ def absent(files: DataFrame, inventory: DataFrame) -> DataFrame:
 
 
 def plan(inventory: DataFrame, files: DataFrame, root: str, out: str) -> DataFrame:
-    """(action, src, dest, target, command): copies of unique, unlisted and kept files, links for the rest.
+    """(action, src, dest, target, command, first_ord, ord): copies of unique, unlisted and kept files, links for the rest.
 
     A path outside of `root` has a null dest; its row stays, so it can be counted as an error. A keeper listed twice is not linked to itself.
     """
@@ -75,11 +68,11 @@ def plan(inventory: DataFrame, files: DataFrame, root: str, out: str) -> DataFra
     kept = sizes(inventory).filter("n > 1").select(F.lit("copy_keeper").alias("action"), F.col("keeper").alias("src"))
     loose = absent(files, inventory).select(F.lit("copy_unlisted").alias("action"), F.col("path").alias("src"))
     copies = unique.unionByName(kept).unionByName(loose).select("action", "src", to("src").alias("dest"), none.alias("target"), none.alias("command"))
-    links = rows.filter("n > 1 AND path <> keeper").select(F.lit("link").alias("action"), F.col("path").alias("src"), to("path").alias("dest"), to("keeper").alias("kept"))
+    links = rows.filter("n > 1 AND path <> keeper").select("first_ord", "ord", F.lit("link").alias("action"), F.col("path").alias("src"), to("path").alias("dest"), to("keeper").alias("kept"))
     links = links.withColumn("target", paths.relative("kept", paths.parent("dest")))
     inner = paths.reroot("dest", out, "")
     command = F.format_string(LINK_COMMAND, paths.windows(paths.parent(inner)), paths.name("dest"), paths.windows("target"))
-    return copies.unionByName(links.select("action", "src", "dest", "target", F.when(F.col("dest").isNotNull(), command).alias("command")))
+    return copies.unionByName(links.select("action", "src", "dest", "target", F.when(F.col("dest").isNotNull(), command).alias("command"), "first_ord", "ord"), allowMissingColumns=True)
 
 
 def plan_summary(planned: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import paths, text
-from corpusloom.operators import catalog, chunks, duplicates, items, pages
+from corpusloom.operators import catalog, chunks, duplicates, export, items, pages
+from corpusloom.sources import files, sinks, staging
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -69,9 +71,22 @@ def dup_summary(spark, d):
     return duplicates.summary(_inventory(spark, d))
 
 
-@query("SELECT hash, count(*) AS n, min(ord) AS first_ord, string_agg(path, '|' ORDER BY ord) AS paths FROM hash_csv WHERE hash IS NOT NULL GROUP BY hash HAVING count(*) > 1")
+@query("SELECT hash, n, first_ord, path, ord FROM (SELECT *, count(*) OVER (PARTITION BY hash) AS n, min(ord) OVER (PARTITION BY hash) AS first_ord FROM hash_csv WHERE hash IS NOT NULL) WHERE n > 1")
 def dup_report(spark, d):
-    return duplicates.report(_inventory(spark, d)).withColumn("paths", F.array_join("paths", "|"))
+    return duplicates.report(_inventory(spark, d))
+
+
+def _folder(spark, what):
+    """A new folder beside the staged tables."""
+    return f"{staging.shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
+
+
+@query("SELECT hash, path FROM hash_csv WHERE hash IS NOT NULL")
+def inventory_round_trip(spark, d):
+    """The hash table written as CSV and read again."""
+    at = _folder(spark, "inventory")
+    sinks.write_inventory(_inventory(spark, d), at)
+    return files.read_inventory(spark, at).select("hash", "path")
 
 
 _KEEPERS = rf"""
@@ -142,6 +157,11 @@ def species_files(spark, d):
     return _inventory(spark, d).groupBy(paths.species("path").alias("species")).agg(F.count("*").alias("n"), F.countDistinct("path").alias("n_paths"))
 
 
+@query("SELECT DISTINCT species, replace(species, ' ', '_') AS folder FROM metadata")
+def species_folders(spark, d):
+    return t(spark, d, "metadata").select("species", catalog.folder("species").alias("folder")).distinct()
+
+
 # -- text functions -----------------------------------------------------------------------------------------------------
 
 _INNER = f"regexp_replace(regexp_replace(regexp_replace({{x}}, '[^\\p{{{{L}}}}{_DIGIT.replace('{', '{{').replace('}', '}}')}]', '.', 'g'), '[{_DIGIT.replace('{', '{{').replace('}', '}}')}]', '0', 'g'), '\\p{{{{L}}}}', 'aa', 'g')".replace("{{{{", "{").replace("}}}}", "}").replace("{{", "{").replace("}}", "}")
@@ -293,14 +313,6 @@ def document_text(spark, d):
     return pages.roll_up(_parts(spark, d), "doc_path").select("doc_path", "page_count", "ocr_used", "text_length", F.md5("full_text").alias("hash"))
 
 
-@query(f"""WITH {_PARTS}, r AS (SELECT doc_path, count(*) AS page_count, string_agg(part, chr(10) || chr(10) ORDER BY page_no, part) AS x, bool_or(ocr_done) AS ocr_used FROM parts GROUP BY doc_path)
-SELECT doc_path AS file_path, string_split(doc_path, '/')[2] AS species, CAST(page_count AS INTEGER) AS page_count, CAST(length(x) AS INTEGER) AS text_length, 0 AS image_count, ocr_used, '' AS error FROM r
-UNION ALL SELECT DISTINCT file_path, string_split(file_path, '/')[2], CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS BOOLEAN), error FROM extraction_log WHERE error <> ''""")
-def extraction_log(spark, d):
-    failed = t(spark, d, "extraction_log").filter("error <> ''").select(F.col("file_path").alias("doc_path"), "error").distinct()
-    return pages.extraction_log(pages.roll_up(_parts(spark, d), "doc_path"), errors=failed)
-
-
 @query("""SELECT species, count(*) AS n, count(*) FILTER (error = '') AS ok, count(*) FILTER (error <> '') AS failed, CAST(coalesce(sum(page_count), 0) AS BIGINT) AS pages,
  count(*) FILTER (ocr_used) AS with_ocr FROM (SELECT DISTINCT * FROM extraction_log) GROUP BY species""")
 def log_summary(spark, d):
@@ -345,6 +357,21 @@ def images_kept(spark, d):
     return pages.kept_images(_images(spark, d)).select("doc_path", "page_no", "seq", "image_idx", "image_file")
 
 
+@query(f"""WITH {_PARTS}, {_IMAGES}, r AS (SELECT doc_path, count(*) AS page_count, string_agg(part, chr(10) || chr(10) ORDER BY page_no, part) AS x, bool_or(ocr_done) AS ocr_used FROM parts GROUP BY doc_path),
+one AS (SELECT * FROM img QUALIFY row_number() OVER (PARTITION BY doc_path, page_no, xref ORDER BY seq) = 1),
+kept AS (SELECT doc_path AS source, count(*) AS n FROM one WHERE width >= 50 AND height >= 50 AND NOT coalesce(rect_w >= 0.85e0 * page_w AND rect_h >= 0.85e0 * page_h AND page_nws > 300, FALSE) GROUP BY doc_path)
+SELECT doc_path AS file_path, string_split(doc_path, '/')[2] AS species, CAST(page_count AS INTEGER) AS page_count, CAST(length(x) AS INTEGER) AS text_length, CAST(coalesce(n, 0) AS INTEGER) AS image_count, ocr_used, '' AS error
+ FROM r LEFT JOIN kept ON source = CAST(length(doc_path) % 50 + 1 AS VARCHAR)
+UNION ALL SELECT DISTINCT file_path, string_split(file_path, '/')[2], CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), CAST(NULL AS BOOLEAN), error FROM extraction_log WHERE error <> ''""")
+def extraction_log(spark, d):
+    """Every document has the images of one source, chosen by the length of its path."""
+    failed = t(spark, d, "extraction_log").filter("error <> ''").select(F.col("file_path").alias("doc_path"), "error").distinct()
+    docs = pages.roll_up(_parts(spark, d), "doc_path")
+    source = docs.select("doc_path", (F.length("doc_path") % 50 + 1).cast("string").alias("source"))
+    images = pages.kept_images(_images(spark, d)).select(F.col("doc_path").alias("source"), "image_file").join(source, "source")
+    return pages.extraction_log(docs, images, failed)
+
+
 # -- chunks -------------------------------------------------------------------------------------------------------------
 
 _LATEST = "latest AS (SELECT * FROM chunks QUALIFY row_number() OVER (PARTITION BY doc_id, chunk_idx ORDER BY loaded_at DESC NULLS LAST, text DESC NULLS LAST) = 1)"
@@ -396,6 +423,70 @@ def table_slugs(spark, d):
     return items.table_files(_items(spark, d)).select("doc_id", "self_ref", "ordinal", "slug", "csv_file")
 
 
+_TABLE_FILES = f"""{_ITEMS}, tf AS (SELECT o.*, CASE WHEN coalesce(o.caption, '') = '' THEN 'table_' || ordinal ELSE {_slug('o.caption')} END AS slug, list_min(list_filter(l.page_numbers, lambda x: x IS NOT NULL)) AS page_number, l.headings, l.page_numbers
+ FROM ordinals o JOIN latest l USING (doc_id, chunk_idx) WHERE item_type = 'TableItem')"""
+
+
+@query(f"WITH {_TABLE_FILES} SELECT doc_id, self_ref, page_number, coalesce(nullif(left(caption, 80), ''), '(no caption)') AS shown FROM tf")
+def table_listing(spark, d):
+    return items.table_files(_items(spark, d)).select("doc_id", "self_ref", "page_number", text.display("caption", 80).alias("shown"))
+
+
+def _sources(spark, d):
+    return _latest_metadata(spark, d).select("doc_id", paths.name("original_pdf_path").alias("source_file"), paths.species("original_pdf_path").alias("species"))
+
+
+def _table_data(spark, d):
+    """A row of caption, chunk and headings for every table; none where the chunk has no pages."""
+    tabs = chunks.tables(_chunks(spark, d)).join(_chunks(spark, d).select("doc_id", "chunk_idx", "headings", "page_numbers"), ["doc_id", "chunk_idx"])
+    has = F.col("page_numbers").isNotNull()
+    row = F.array("caption", F.col("chunk_idx").cast("string"), F.array_join(F.coalesce("headings", F.array().cast("array<string>")), ", "))
+    return tabs.select("doc_id", F.concat_ws("/", F.lit("#/tables"), "chunk_idx", "pos").alias("self_ref"), F.when(has, F.array(F.lit("caption"), F.lit("chunk"), F.lit("all, headings"))).alias("header"), F.when(has, F.array(row)).alias("cells"), F.when(~has, "no pages").alias("error"))
+
+
+_CSV = """CASE WHEN regexp_matches({x}, '[",\n\r]') THEN '"' || replace({x}, '"', '""') || '"' ELSE coalesce({x}, '') END"""
+_SOURCES = f"src AS (SELECT doc_id, regexp_extract(original_pdf_path, '[^/]*$') AS source_file, string_split(original_pdf_path, '/')[-2] AS species FROM ({_LATEST_META}))"
+
+
+@query(f"""WITH {_TABLE_FILES}, {_SOURCES} SELECT doc_id, self_ref, 'tables/' || slug || '.csv' AS csv_file, page_numbers IS NOT NULL AS ok,
+ CASE WHEN page_numbers IS NOT NULL THEN 'caption,chunk,"all, headings"' || chr(10) || {_CSV.format(x='caption')} || ',' || chunk_idx || ',' || {_CSV.format(x="array_to_string(headings, ', ')")} || chr(10) END AS csv,
+ CASE WHEN page_numbers IS NOT NULL THEN to_json({{'caption': coalesce(caption, ''), 'page_number': page_number, 'rows': 1, 'cols': 3, 'source_file': source_file, 'species': src.species}}) :: VARCHAR END AS meta FROM tf LEFT JOIN src USING (doc_id)""")
+def table_export(spark, d):
+    return export.tables(_items(spark, d), _table_data(spark, d), _sources(spark, d)).select("doc_id", "self_ref", "csv_file", "ok", "csv", "meta")
+
+
+@query(f"WITH {_TABLE_FILES} SELECT doc_id, count(*) AS total, count(*) FILTER (page_numbers IS NOT NULL) AS ok, count(*) FILTER (page_numbers IS NULL) AS fail FROM tf GROUP BY doc_id")
+def table_export_stats(spark, d):
+    return export.export_stats(export.tables(_items(spark, d), _table_data(spark, d), _sources(spark, d)))
+
+
+def _picture_data(spark, d):
+    """The reference as content for every picture with an image file; an error for references that end in 7."""
+    figs = chunks.figures(_chunks(spark, d)).groupBy("doc_id", F.col("picture_ref").alias("self_ref")).agg(F.max("image_file").alias("f"))
+    return figs.select("doc_id", "self_ref", F.when(F.col("f") != "", F.col("self_ref").cast("binary")).alias("content"), F.when(F.endswith("self_ref", F.lit("7")), "unreadable").alias("error"))
+
+
+_PICTURE_FILES = f"""{_ITEMS}, pf AS (SELECT o.*, CASE WHEN coalesce(o.caption, '') = '' THEN 'figure_' || ordinal ELSE {_slug('o.caption')} END AS slug, list_min(list_filter(l.page_numbers, lambda x: x IS NOT NULL)) AS page_number
+ FROM ordinals o JOIN latest l USING (doc_id, chunk_idx) WHERE item_type = 'PictureItem')"""
+
+
+@query(f"WITH {_PICTURE_FILES} SELECT doc_id, count(*) AS total, count(*) FILTER (NOT self_ref LIKE '%7') AS ok, count(*) FILTER (self_ref LIKE '%7') AS fail FROM pf GROUP BY doc_id")
+def picture_export_stats(spark, d):
+    return export.export_stats(export.pictures(_items(spark, d), _picture_data(spark, d), _sources(spark, d)))
+
+
+@query(f"""WITH {_PICTURE_FILES}, {_SOURCES}, w AS (SELECT doc_id, slug, arg_max(struct_pack(caption := coalesce(caption, ''), page_number := page_number, picture_ref := self_ref), ordinal) AS x FROM pf WHERE NOT self_ref LIKE '%7' GROUP BY doc_id, slug)
+SELECT doc_id, slug || '_meta.json' AS name, x.caption AS caption, x.page_number AS page_number, x.picture_ref AS picture_ref, source_file, src.species AS species, 'images/' || replace(max(slug || '_meta.json') OVER (PARTITION BY doc_id, x.picture_ref), '_meta.json', '.png') AS image_file FROM w LEFT JOIN src USING (doc_id)""")
+def sidecar_files(spark, d):
+    """The pictures' sidecars written as files, under names of any script, and read again."""
+    at = _folder(spark, "sidecars")
+    made = export.on_disk(export.pictures(_items(spark, d), _picture_data(spark, d), _sources(spark, d)), "meta_path")
+    sinks.write_files(made.select(F.concat_ws("/", "doc_id", "meta_path").alias("path"), F.col("meta").alias("content")), at).count()
+    read = files.read_sidecars(spark, at).filter("NOT bad").withColumn("doc_id", F.element_at(F.split("meta_path", "/"), -3))
+    found = chunks.image_files(read)
+    return read.join(found, ["doc_id", "picture_ref"]).select("doc_id", F.element_at(F.split("meta_path", "/"), -1).alias("name"), "caption", "page_number", "picture_ref", "source_file", "species", F.col("found").alias("image_file"))
+
+
 @query(f"""WITH {_ITEMS}, s AS (SELECT *, CASE WHEN coalesce(caption, '') = '' THEN 'table_' || ordinal ELSE {_slug('caption')} END AS slug FROM ordinals WHERE item_type = 'TableItem')
 SELECT doc_id, slug, count(*) AS writers, arg_max(self_ref, ordinal) AS self_ref FROM s GROUP BY doc_id, slug""")
 def slug_collisions(spark, d):
@@ -427,9 +518,10 @@ links AS (SELECT l.doc_id, l.chunk_idx, c.pos, c.caption, c.picture_ref FROM lat
 
 
 def _phrases(spark, d):
-    """Beginnings of every other chunk as captions to look for."""
-    rows = _chunks(spark, d).filter("length(text) >= 60 AND chunk_idx % 2 = 0").select("doc_id", F.substring("text", 1, 40).alias("caption"), F.col("chunk_idx").alias("pos"), F.concat(F.lit("#/pictures/"), F.col("chunk_idx").cast("string")).alias("ref"))
-    return rows.groupBy("doc_id", "caption").agg(F.max_by("ref", "pos").alias("picture_ref"), F.min("pos").alias("pos"))
+    """The captions of all pictures, and every heading of every chunk, whole."""
+    rows = _chunks(spark, d).select("doc_id", F.explode("headings").alias("caption"), F.col("chunk_idx").alias("pos")).filter("caption <> ''")
+    made = rows.groupBy("doc_id", "caption").agg(F.concat(F.lit("#/pictures/"), F.max("pos").cast("string")).alias("picture_ref"), F.min("pos").alias("pos"))
+    return made.unionByName(items.captions(_items(spark, d)))
 
 
 def _spoilt(spark, d):
@@ -440,9 +532,10 @@ def _spoilt(spark, d):
     return made.unionByName(items.captions(_items(spark, d)))
 
 
-@query(f"""WITH {_FIGS},
-caps AS (SELECT doc_id, left(text, 40) AS caption, '#/pictures/' || max(chunk_idx) AS picture_ref, min(chunk_idx) AS pos FROM latest WHERE length(text) >= 60 AND chunk_idx % 2 = 0 GROUP BY ALL)
-SELECT l.doc_id, l.chunk_idx, c.pos, c.caption, c.picture_ref FROM latest l JOIN caps c ON c.doc_id = l.doc_id WHERE l.text <> '' AND (contains(l.text, c.caption) OR contains(c.caption, l.text))
+@query(f"""WITH {_ITEMS}, {_CAPS},
+heads AS (SELECT doc_id, h AS caption, '#/pictures/' || max(chunk_idx) AS picture_ref, min(chunk_idx) AS pos FROM (SELECT doc_id, chunk_idx, unnest(headings) AS h FROM latest) WHERE h <> '' GROUP BY doc_id, h),
+both_ AS (SELECT doc_id, caption, picture_ref, pos FROM heads UNION ALL SELECT doc_id, caption, picture_ref, pos FROM caps)
+SELECT l.doc_id, l.chunk_idx, CAST(c.pos AS INTEGER) AS pos, c.caption, c.picture_ref FROM latest l JOIN both_ c ON c.doc_id = l.doc_id WHERE l.text <> '' AND (contains(l.text, c.caption) OR contains(c.caption, l.text))
  AND NOT EXISTS (SELECT 1 FROM figs f WHERE f.doc_id = l.doc_id AND f.chunk_idx = l.chunk_idx AND f.picture_ref = c.picture_ref)""")
 def caption_contains_link(spark, d):
     return chunks.fuzzy_links(_chunks(spark, d), _phrases(spark, d), 100).drop("score")
@@ -501,25 +594,27 @@ firsts AS (SELECT doc_id, p AS page_number, min(chunk_idx) AS chunk_idx FROM (SE
 fall AS (SELECT doc_id, picture_ref, arg_min(chunk_idx, meta_path) AS chunk_idx, min(meta_path) AS meta_path FROM loose JOIN firsts USING (doc_id, page_number) GROUP BY doc_id, picture_ref)"""
 
 
-@query(f"WITH {_FIGS}, {_SIDE}, {_FALL} SELECT doc_id, chunk_idx, meta_path, picture_ref, replace(meta_path, '_meta.json', '.png') AS image_file FROM fall")
+@query(f"WITH {_FIGS}, {_SIDE}, {_FALL} SELECT doc_id, chunk_idx, meta_path, '' AS caption, picture_ref, replace(meta_path, '_meta.json', '.png') AS image_file FROM fall")
 def fallback_inject(spark, d):
-    return chunks.fallback_links(_chunks(spark, d), _sidecars(spark, d)).drop("caption")
+    return chunks.fallback_links(_chunks(spark, d), _sidecars(spark, d))
 
 
 _POST = f"""{_LINKS}, {_SIDE}, {_FALL},
-united AS (SELECT doc_id, chunk_idx, 0 AS src, pos, picture_ref, image_file FROM figs UNION ALL SELECT doc_id, chunk_idx, 1, min(pos), picture_ref, NULL FROM links GROUP BY doc_id, chunk_idx, picture_ref),
+united AS (SELECT doc_id, chunk_idx, 0 AS src, pos, caption, picture_ref, image_file FROM figs UNION ALL SELECT doc_id, chunk_idx, 1, min(pos), arg_min(caption, struct_pack(p := pos, c := caption)), picture_ref, NULL FROM links GROUP BY doc_id, chunk_idx, picture_ref),
 res AS (SELECT u.*, coalesce(nullif(image_file, ''), found) AS img FROM united u LEFT JOIN found USING (doc_id, picture_ref)),
 inchunk AS (SELECT * FROM res QUALIFY row_number() OVER (PARTITION BY doc_id, chunk_idx, picture_ref ORDER BY src, pos) = 1),
 across_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, picture_ref ORDER BY chunk_idx, src, pos) AS n FROM inchunk) WHERE n = 1 OR picture_ref = '')"""
 
 
 def _post(spark, d):
-    return chunks.postprocess(_chunks(spark, d), items.captions(_items(spark, d)), _sidecars(spark, d), 100)
+    """With the default threshold. SQL finds captions that stand in the text word for word; no caption of these tables scores between the threshold and that."""
+    return chunks.postprocess(_chunks(spark, d), items.captions(_items(spark, d)), _sidecars(spark, d))
 
 
-@query(f"WITH {_POST} SELECT doc_id, chunk_idx, picture_ref, img AS image_file FROM across_ UNION ALL SELECT doc_id, chunk_idx, picture_ref, replace(meta_path, '_meta.json', '.png') FROM fall")
+@query(f"""WITH {_POST}, every_ AS (SELECT doc_id, chunk_idx, src, pos, '' AS meta_path, caption, picture_ref, img AS image_file FROM across_ UNION ALL SELECT doc_id, chunk_idx, 2, 0, meta_path, '', picture_ref, replace(meta_path, '_meta.json', '.png') FROM fall)
+SELECT doc_id, chunk_idx, CAST(row_number() OVER (PARTITION BY doc_id, chunk_idx ORDER BY src, pos, meta_path, caption) - 1 AS INTEGER) AS pos, caption, picture_ref, image_file FROM every_""")
 def postprocess(spark, d):
-    return chunks.figures(_post(spark, d)["chunks"]).select("doc_id", "chunk_idx", "picture_ref", "image_file")
+    return chunks.figures(_post(spark, d)["chunks"]).select("doc_id", "chunk_idx", "pos", "caption", "picture_ref", "image_file")
 
 
 @query(f"""WITH {_POST}, z AS (SELECT doc_id, sum(CAST(coalesce(img, '') <> '' AS INT)) - sum(CAST(coalesce(image_file, '') <> '' AS INT)) AS r FROM res GROUP BY doc_id)
@@ -545,12 +640,48 @@ def chunks_json(spark, d):
     return chunks.to_json(_chunks(spark, d))
 
 
-@query(f"WITH {_FIGS} SELECT doc_id, chunk_idx, count(*) AS figures FROM (SELECT DISTINCT doc_id, chunk_idx, picture_ref FROM figs) GROUP BY doc_id, chunk_idx")
-def build_chunks(spark, d):
-    """Chunks built again from the items and where they stood."""
+def _documents(spark, d):
+    """Items with the pictures' captions as texts of their own, one chunk further, where there is one."""
     made = _items(spark, d)
-    placed = made.select("doc_id", "chunk_idx", "item_ord", F.lit(None).cast("string").alias("chunk_text"), F.array().cast("array<string>").alias("headings"))
-    return items.build_chunks(placed, made.drop("chunk_idx", "pos")).select("doc_id", "chunk_idx", F.size("figures").cast("bigint").alias("figures")).filter("figures > 0")
+    texts = chunks.figures(_chunks(spark, d)).filter("caption <> ''").select("doc_id", (F.col("chunk_idx") + 1).alias("chunk_idx"), F.lit("TextItem").alias("item_type"), "pos", F.lit(None).cast("string").alias("caption"), F.concat_ws("/", F.lit("#/texts"), "chunk_idx", "pos").alias("self_ref"), F.lit("Caption").alias("label"), F.col("caption").alias("text"))
+    texts = texts.join(_chunks(spark, d).select("doc_id", "chunk_idx", F.col("page_numbers").alias("page_nos")), ["doc_id", "chunk_idx"])
+    order = W.partitionBy("doc_id").orderBy("chunk_idx", "item_type", "pos")
+    return made.drop("item_ord").unionByName(texts).withColumn("item_ord", F.row_number().over(order))
+
+
+def _built(spark, d):
+    made = _documents(spark, d)
+    words = _chunks(spark, d).select("doc_id", "chunk_idx", F.col("text").alias("chunk_text"), "headings")
+    return items.build_chunks(made.select("doc_id", "chunk_idx", "item_ord").join(words, ["doc_id", "chunk_idx"]), made.drop("chunk_idx", "pos"))
+
+
+@query(f"""WITH {_ITEMS},
+more AS (SELECT doc_id, chunk_idx, item_type, pos, caption, self_ref, '' AS label, NULL AS text FROM mixed UNION ALL SELECT f.doc_id, f.chunk_idx + 1, 'TextItem', f.pos, NULL, '#/texts/' || f.chunk_idx || '/' || f.pos, 'Caption', f.caption FROM figs f JOIN latest l ON l.doc_id = f.doc_id AND l.chunk_idx = f.chunk_idx + 1 WHERE f.caption <> ''),
+docs AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_idx, item_type, pos) AS item_no, row_number() OVER (PARTITION BY doc_id, item_type ORDER BY chunk_idx, item_type, pos) AS ordinal FROM more),
+caps AS (SELECT doc_id, caption, arg_max(self_ref, item_no) AS ref FROM docs WHERE item_type = 'PictureItem' AND caption <> '' GROUP BY doc_id, caption),
+refs AS (SELECT doc_id, chunk_idx, item_no, coalesce(caption, '') AS caption, self_ref AS ref FROM docs WHERE item_type = 'PictureItem' UNION ALL SELECT d.doc_id, chunk_idx, item_no, d.text, ref FROM docs d JOIN caps c ON c.doc_id = d.doc_id AND c.caption = d.text WHERE label = 'Caption'),
+fig AS (SELECT doc_id, chunk_idx, string_agg(caption || '>' || ref, '|' ORDER BY item_no) AS figures FROM (SELECT * FROM refs QUALIFY row_number() OVER (PARTITION BY doc_id, chunk_idx, ref ORDER BY item_no) = 1) GROUP BY doc_id, chunk_idx),
+tab AS (SELECT doc_id, chunk_idx, string_agg(coalesce(caption, '') || '>tables/' || CASE WHEN coalesce(caption, '') = '' THEN 'table_' || ordinal ELSE {_slug('caption')} END || '.csv', '|' ORDER BY item_no) AS tables FROM docs WHERE item_type = 'TableItem' GROUP BY doc_id, chunk_idx),
+base AS (SELECT doc_id, chunk_idx, string_agg(item_type, '|' ORDER BY item_no) AS item_types FROM docs GROUP BY doc_id, chunk_idx)
+SELECT doc_id, chunk_idx, md5(text) AS hash, array_to_string(headings, '|') AS headings, base.item_types, coalesce(array_to_string(list_sort(list_distinct(list_filter(page_numbers, lambda x: x IS NOT NULL))), '|'), '') AS pages, coalesce(fig.figures, '') AS figures, coalesce(tab.tables, '') AS tables
+FROM base JOIN latest USING (doc_id, chunk_idx) LEFT JOIN fig USING (doc_id, chunk_idx) LEFT JOIN tab USING (doc_id, chunk_idx)""")
+def build_chunks(spark, d):
+    """Chunks built again from the items, caption texts among them, and where they stood."""
+    join = lambda c, f: F.array_join(F.transform(c, f), "|").alias(c)
+    pages_ = F.array_join(F.col("page_numbers").cast("array<string>"), "|").alias("pages")
+    return _built(spark, d).select(
+        "doc_id", "chunk_idx", F.md5("text").alias("hash"), F.array_join("headings", "|").alias("headings"), F.array_join("item_types", "|").alias("item_types"), pages_,
+        join("figures", lambda x: F.concat_ws(">", x["caption"], x["picture_ref"])), join("tables", lambda x: F.concat_ws(">", x["caption"], x["csv_file"])))
+
+
+@query()
+def process_summary(spark, d):
+    """A whole run over every document: exports, chunks, post-processing and the counts of each."""
+    made = _documents(spark, d)
+    words = _chunks(spark, d).select("doc_id", "chunk_idx", F.col("text").alias("chunk_text"), "headings")
+    placed = made.select("doc_id", "chunk_idx", "item_ord").join(words, ["doc_id", "chunk_idx"])
+    meta = _latest_metadata(spark, d)
+    return export.process(made.drop("chunk_idx", "pos"), placed, _table_data(spark, d), _picture_data(spark, d), meta.select("doc_id", "page_count"), meta.select("doc_id", F.col("original_pdf_path").alias("path")))["summary"]
 
 
 # -- catalog ------------------------------------------------------------------------------------------------------------
@@ -560,19 +691,56 @@ def _catalog(spark, d):
     """A page of HTML for every record."""
     v = lambda c: F.coalesce(c, F.lit(""))
     row = lambda name, c: F.concat(F.lit(f"<tr><td class='k'>{name}:</td>\n<td> "), v(c), F.lit(" </td></tr>\n"))
-    link = F.concat(F.lit('<p><a href="/files/'), "original_pdf_path", F.lit('">PDF</a> <a href="about.html">?</a> <a href="/files/'), "original_pdf_path", F.lit('">again</a></p>'))
-    html = F.concat(F.lit("<html><table>"), row("Author", "author"), row("Year", "year"), row("Title", "title"), F.lit("</table>"), link, F.lit("</html>"))
+    link = F.concat(F.lit("<tr><td>PDF</td><td>\n<a href=\"https://files.example.org/"), "original_pdf_path", F.lit('">1</a> <a class="x" href="/'), "doc_id", F.lit('?a=1">2</a></td></tr><tr><td>More</td><td><a href="about.html">?</a></td></tr>'))
+    html = F.concat(F.lit("<html><table>"), row("Author", "author"), row("Year", "year"), row("Title", "title"), link, F.lit("</table></html>"))
     return _latest_metadata(spark, d).select("doc_id", "species", html.alias("html"))
 
 
-@query(f"SELECT doc_id, nullif({_strip('author')}, '') AS author, nullif({_strip('year')}, '') AS year, nullif({_strip('title')}, '') AS title, '/files/' || original_pdf_path || '|about.html' AS hrefs FROM ({_LATEST_META})")
+@query(f"SELECT doc_id, nullif({_strip('author')}, '') AS author, nullif({_strip('year')}, '') AS year, nullif({_strip('title')}, '') AS title, 'https://files.example.org/' || original_pdf_path || '|/' || doc_id || '?a=1|about.html' AS hrefs FROM ({_LATEST_META})")
 def catalog_fields(spark, d):
     return catalog.fields(_catalog(spark, d)).select("doc_id", "author", "year", "title", F.array_join("hrefs", "|").alias("hrefs"))
 
 
-@query(f"SELECT doc_id, 1 AS pdf_ord, 'https://example.org/catalog/files/' || original_pdf_path AS pdf_url FROM ({_LATEST_META})")
+@query(f"SELECT doc_id, 1 AS pdf_ord, 'https://files.example.org/' || original_pdf_path AS pdf_url FROM ({_LATEST_META}) UNION ALL SELECT doc_id, 2, '/' || doc_id || '?a=1' FROM ({_LATEST_META})")
 def catalog_links(spark, d):
-    return catalog.links(_catalog(spark, d), "https://example.org/catalog/").select("doc_id", "pdf_ord", "pdf_url")
+    return catalog.links(_catalog(spark, d).drop("species")).select("doc_id", "pdf_ord", "pdf_url")
+
+
+def _genus(spark, d):
+    """A catalog page for every species and first digit of a digest, its references in the tenth block."""
+    link = F.concat(F.lit('<strong><a class="r" href="/ref/'), "doc_id", F.lit('">x</a></strong>'))
+    rows = _latest_metadata(spark, d).filter("species IS NOT NULL").groupBy("species", F.substring(F.md5("doc_id"), 1, 1).alias("k")).agg(F.array_join(F.array_sort(F.collect_list(link)), " ").alias("links"))
+    return rows.select(F.concat(F.lit('<div class="a species-title">\n<em>'), F.col("species"), F.lit("</em></div>"), F.lit('<div class="tax-ref"></div>' * 9 + '<div class="tax-ref">'), "links", F.lit("</div>")).alias("html"))
+
+
+def _crawled(spark, d):
+    pages_ = _catalog(spark, d).select(F.concat(F.lit("https://example.org/ref/"), "doc_id").alias("url"), "html")
+    m = _latest_metadata(spark, d).filter("ocr_used")
+    there = m.select(F.concat_ws("/", F.lit("pdfs"), catalog.folder("species"), F.concat(text.base_name("author", "year", "title"), F.lit(".pdf"))).alias("path"))
+    return catalog.crawl(_genus(spark, d), pages_, there, "https://example.org/", "pdfs")
+
+
+_CRAWL = rf"""
+m AS (SELECT *, nullif({_strip('author')}, '') AS a, nullif({_strip('year')}, '') AS y, nullif({_strip('title')}, '') AS t FROM ({_LATEST_META})),
+o AS (SELECT *, row_number() OVER (PARTITION BY species, left(md5(doc_id), 1) ORDER BY doc_id) - 1 AS ref_ord FROM m WHERE species IS NOT NULL),
+b AS (SELECT *, regexp_replace(replace(a || '_' || y || '_' || t, ' ', '_'), '[^\p{{L}}\p{{N}}_\-]', '', 'g') AS base FROM o WHERE a IS NOT NULL AND y IS NOT NULL AND t IS NOT NULL),
+l AS (SELECT *, unnest([1, 2]) AS pdf_ord FROM b),
+n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY ref_ord, pdf_ord, doc_id) - 1 AS copy_no FROM l),
+f AS (SELECT *, CASE WHEN copy_no > 0 THEN '_' || copy_no ELSE '' END || '.pdf' AS ending FROM n),
+g AS (SELECT *, 'pdfs/' || replace(species, ' ', '_') || '/' || CASE WHEN strlen(base || ending) > 255 THEN left(base, list_max(list_filter(range(0, 246), lambda i: strlen(left(base, i)) <= 245))) ELSE base END || ending AS path FROM f),
+p AS (SELECT DISTINCT 'pdfs/' || replace(species, ' ', '_') || '/' || {_BASE} || '.pdf' AS path FROM ({_LATEST_META}) WHERE ocr_used)"""
+
+
+@query(f"""WITH {_CRAWL} SELECT replace(species, ' ', '_') AS species, 'https://example.org/ref/' || doc_id AS ref_url, pdf_ord, base, CAST(copy_no AS INTEGER) AS copy_no, path, path IN (SELECT path FROM p WHERE path IS NOT NULL) AS there FROM g""")
+def crawl_files(spark, d):
+    return _crawled(spark, d)[0].select("species", "ref_url", "pdf_ord", "base", "copy_no", "path", "there")
+
+
+@query(f"""WITH {_CRAWL}, e AS (SELECT DISTINCT replace(species, ' ', '_') AS s FROM o WHERE a IS NULL OR y IS NULL OR t IS NULL)
+SELECT (SELECT count(DISTINCT species) FROM o) AS species_processed, (SELECT count(DISTINCT species) FROM o) AS species_total, (SELECT count(*) FROM g) AS files, (SELECT count(*) FROM g WHERE path IN (SELECT path FROM p WHERE path IS NOT NULL)) AS already_there,
+ (SELECT coalesce(string_agg(s, ', ' ORDER BY s), '') FROM e) AS folders""")
+def crawl_summary(spark, d):
+    return _crawled(spark, d)[1]
 
 
 @query("SELECT doc_id, species FROM metadata WHERE species IN (SELECT species FROM documents GROUP BY species HAVING count(*) >= 10)")
@@ -587,10 +755,11 @@ def skip_existing(spark, d):
     return catalog.to_fetch(_files(spark, d).distinct(), done)
 
 
-@query("WITH s AS (SELECT DISTINCT species FROM documents WHERE species IS NOT NULL), n AS (SELECT species, row_number() OVER (ORDER BY species) AS pos FROM s) SELECT a.species, b.species AS block FROM n a JOIN n b ON a.pos + 10 = b.pos")
+@query(f"""WITH x AS (SELECT species, doc_id, row_number() OVER (PARTITION BY species, left(md5(doc_id), 1) ORDER BY doc_id) - 1 AS ref_ord FROM ({_LATEST_META}) WHERE species IS NOT NULL)
+SELECT species, CAST(ref_ord AS INTEGER) AS ref_ord, 'https://example.org/ref/' || doc_id AS ref_url FROM x""")
 def reference_blocks(spark, d):
-    s = t(spark, d, "documents").filter("species IS NOT NULL").select("species").distinct().withColumn("pos", F.row_number().over(W.orderBy("species")))  # a short list of names
-    return catalog.at_ordinal(s, s.select(F.col("pos").alias("block_no"), F.col("species").alias("block"))).select("species", "block")
+    """References of every species title, from the block nine places further on its page."""
+    return catalog.references(_genus(spark, d), "https://example.org").select("species", "ref_ord", "ref_url")
 
 
 @query("""WITH e AS (SELECT DISTINCT species, file_path FROM extraction_log WHERE error <> ''), f AS (SELECT species, min(file_path) AS p FROM e GROUP BY species)
