@@ -83,6 +83,8 @@ def fuzzy_links(chunks: DataFrame, captions: DataFrame, threshold: float = FUZZY
         # What is the whole of a shorter text scores 100 as well.
         scores = F.transform("__c", lambda c: F.when(inside(c) | F.contains(c["caption"], F.col("text")), 100.0))
     else:
+        # Scoring costs far more than the shuffle, which deals a document's chunks out: small tables aren't left to one task, nor large documents.
+        near = near.repartition(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *KEY)
         near = near.withColumn("__p", partial_ratios_udf(threshold)("text", F.transform("__c", lambda c: F.when(~inside(c), c["caption"]))))
         scores = F.transform("__c", lambda c, i: F.when(inside(c), 100.0).otherwise(F.get("__p", i)))
     scored = near.select(*KEY, F.explode(F.arrays_zip("__c", scores.alias("score"))).alias("x"))
