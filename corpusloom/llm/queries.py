@@ -144,10 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q for q in (p1_found, p1_pieces, p2_found, p2_paragraphs, p3_found, p3_segments, p4_found, p4_classes, p4_groups, p5_found, p5_restored, p6_ids, p7_containers, p8_found, p8_share, p8_lines, p8_left)
 }
 
-ORACLE: dict[str, str] = {
-    "p1_found": "SELECT DISTINCT doc_id, chunk_idx FROM chunks WHERE length(text) > 1200",
-    "p4_found": r"""
-WITH w AS (SELECT DISTINCT doc_id, list_transform(regexp_extract_all(full_text, '\p{L}{3,}'), lambda x: lower(x)) AS ws FROM full_texts WHERE full_text IS NOT NULL),
+_ALIKE = r"""w AS (SELECT DISTINCT doc_id, list_transform(regexp_extract_all(full_text, '\p{L}{3,}'), lambda x: lower(x)) AS ws FROM full_texts WHERE full_text IS NOT NULL),
 big AS (SELECT row_number() OVER () AS r, doc_id, ws FROM w WHERE len(ws) >= 100),
 sh AS (SELECT DISTINCT r, doc_id, hash(ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4]) AS s FROM big, unnest(range(1, len(ws) - 3)) AS u(i)),
 n AS (SELECT r, doc_id, count(*) AS n FROM sh GROUP BY r, doc_id),
@@ -157,8 +154,23 @@ texts AS (SELECT 'full_text' AS field, least(x.doc_id, y.doc_id) AS doc_a, great
 tw AS (SELECT row_number() OVER () AS r, doc_id, ws FROM (SELECT DISTINCT doc_id, list_distinct(list_transform(regexp_extract_all(title, '\p{L}{3,}'), lambda x: lower(x))) AS ws FROM metadata WHERE title IS NOT NULL)),
 ts AS (SELECT r, doc_id, len(ws) AS n, unnest(ws) AS s FROM tw),
 tc AS (SELECT a.doc_id AS da, b.doc_id AS db, a.n AS na, b.n AS nb, count(*) AS c FROM ts a JOIN ts b ON a.s = b.s AND a.r < b.r AND a.doc_id <> b.doc_id GROUP BY a.r, b.r, a.doc_id, b.doc_id, a.n, b.n),
-titles AS (SELECT 'title' AS field, least(da, db) AS doc_a, greatest(da, db) AS doc_b FROM tc WHERE 5 * c >= 3 * (na + nb - c))
-SELECT DISTINCT * FROM (SELECT * FROM texts UNION ALL SELECT * FROM titles)
+titles AS (SELECT 'title' AS field, least(da, db) AS doc_a, greatest(da, db) AS doc_b FROM tc WHERE 5 * c >= 3 * (na + nb - c)),
+found AS (SELECT DISTINCT * FROM (SELECT * FROM texts UNION ALL SELECT * FROM titles))"""
+
+ORACLE: dict[str, str] = {
+    "p1_found": "SELECT DISTINCT doc_id, chunk_idx FROM chunks WHERE length(text) > 1200",
+    "p4_found": f"WITH {_ALIKE} SELECT * FROM found",
+    "p4_groups": f"""
+WITH RECURSIVE {_ALIKE},
+e AS (SELECT doc_a AS a, doc_b AS b FROM found UNION SELECT doc_b, doc_a FROM found),
+reach AS (SELECT a AS id, a AS x FROM e UNION SELECT r.id, e.b FROM reach r JOIN e ON r.x = e.a),
+g AS (SELECT id, min(x) AS group_id FROM reach GROUP BY id)
+SELECT id AS doc_id, group_id, count(DISTINCT b) AS n_links FROM g JOIN e ON e.a = id GROUP BY id, group_id
+""",
+    "p4_classes": r"""
+WITH x AS (SELECT DISTINCT 'full_text' AS field, full_text AS t, doc_id FROM full_texts WHERE len(regexp_extract_all(full_text, '\p{L}{3,}')) >= 100
+ UNION ALL SELECT DISTINCT 'title', title, doc_id FROM metadata WHERE regexp_matches(title, '\p{L}{3,}'))
+SELECT field, md5(t) AS cls, min(doc_id) OVER (PARTITION BY field, t) AS representative, count(*) OVER (PARTITION BY field, t) AS n, doc_id FROM x
 """,
     "p8_found": r"""
 WITH d AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) >= 240),
