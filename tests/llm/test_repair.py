@@ -234,3 +234,60 @@ def test_unequal_samples_still_give_the_right_language(refs):
     of, _, _, lang, _ = language.segment(parser, list(texts))
     best = {int(o): parser.langs[x] for o, x in zip(of, lang)}
     assert sum(best[i] == w for i, w in enumerate(want)) / len(want) >= 0.93
+
+
+def spoilt(text, rng):
+    """(text with scan noise, places misread, words broken): headers, page numbers, confusions and hyphens put into a clean text."""
+    read = {}
+    for a, b in scan.CONFUSIONS:
+        read.setdefault(b, []).append(a)
+    out, misread, broken, page = [], 0, 0, 100
+    for line in text.split("\n"):
+        words = line.split(" ")
+        for k, w in enumerate(words):
+            if len(w) > 5 and w.isalpha() and w.islower() and rng.random() < 0.03:
+                at = [(i, p) for i in range(len(w)) for p in read if w.startswith(p, i)]
+                if at:
+                    i, p = rng.choice(at)
+                    words[k] = w[:i] + rng.choice(read[p]) + w[i + len(p) :]
+                    misread += 1
+        line = " ".join(words)
+        if out and out[-1][:1] not in "[" and words[0].isalpha() and words[0].islower() and len(words[0]) > 6 and words[0] in text and rng.random() < 0.1:
+            cut = rng.randint(3, len(words[0]) - 3)
+            out[-1] += f" {words[0][:cut]}-"
+            line = " ".join([words[0][cut:], *words[1:]])
+            broken += 1
+        if line[:6] == "[Page ":
+            page += 1
+            out += [line, f"- {page} -"]
+        else:
+            out.append(line)
+    return "\n".join(out), misread, broken
+
+
+def test_noise_put_into_clean_texts_is_taken_out(spark, data):
+    full = spark.read.parquet(f"{data.rsplit('/', 1)[0]}/sf0.01/full_texts.parquet").select("full_text")
+    known, _ = scan.statistics(full, "full_text")
+    lex = scan.Lexicon(*known)
+    rng = random.Random(7)
+    clean = [t for (t,) in full.collect() if t and t.isprintable() is False and lex.repair(t)[1] == 0 and len(t) > 800][:200]
+    places = right = damage = words = 0
+    for text in clean:
+        noisy, misread, broken = spoilt(text, rng)
+        want = [w for x in scan.paragraphs(text) for w in x.split()]
+        fixed, evidence = lex.repair(noisy)
+        got = [w for x in scan.paragraphs(fixed) for w in x.split()]
+        bad = sum((_bag(want) - _bag(got)).values())
+        before = sum((_bag(want) - _bag([w for w in noisy.split()])).values())
+        places, right, words = places + before, right + max(0, before - bad), words + len(want)
+        damage += sum((_bag(want) - _bag([w for x in scan.paragraphs(lex.repair(text)[0]) for w in x.split()])).values())
+        if misread + broken >= 8:
+            assert evidence >= scan.LEAST_EVIDENCE
+    print(f"words spoilt {places}, restored {right / places:.4f}, clean words damaged {damage / words:.6f}, words right after repair {1 - (places - right) / words:.5f}")
+    assert right / places > 0.9 and damage <= 1e-4 * words
+
+
+def _bag(words):
+    from collections import Counter
+
+    return Counter(words)
