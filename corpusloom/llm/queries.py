@@ -45,7 +45,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The noisy records as continuous paragraphs."""
     full = _spread(_t(spark, sf_dir, "full_texts").select("doc_id", "full_text"))
-    return scan.clean(full, samples=_samples(spark, sf_dir)).filter("noisy").select("doc_id", "evidence", "paragraphs").distinct()
+    return scan.clean(full, samples=_samples(spark, sf_dir), only_noisy=True).filter("noisy").select("doc_id", "evidence", "paragraphs").distinct()
 
 
 def _language_segments(spark: SparkSession, sf_dir: str) -> DataFrame:

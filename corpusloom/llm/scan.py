@@ -627,10 +627,10 @@ def _lexicon(shared: mojibake.Shared) -> Lexicon:
     return _lexicons[shared.id]
 
 
-def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None = None, with_text: bool = True) -> DataFrame:
+def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None = None, with_text: bool = True, only_noisy: bool = False) -> DataFrame:
     """All columns of `df` and evidence (int: places with scan noise), noisy (boolean), paragraphs (array<string>, if wanted).
 
-    With `samples` of clean text, garbled texts are restored before they are judged.
+    With `samples` of clean text, garbled texts are restored before they are judged. only_noisy: records without noise have null for paragraphs.
     """
     clean_text = mojibake.clean_pattern(mojibake.clean_alphabet(samples)) if samples else None
     known, grams = statistics(df, text_col, clean_text)
@@ -648,11 +648,12 @@ def clean(df: DataFrame, text_col: str = "full_text", samples: list[str] | None
             if restorer and not clean_text.fullmatch(text) and restorer.chains(mojibake.odd_words(text)):
                 text = restorer.restore(text)[0]
             fixed, evidence = lexicon.repair(text)
-            out.append((evidence, paragraphs(fixed if evidence >= LEAST_EVIDENCE else text) if with_text else None))
+            noisy = evidence >= LEAST_EVIDENCE
+            out.append((evidence, paragraphs(fixed if noisy else text) if with_text and (noisy or not only_noisy) else None))
         return pd.DataFrame(out, columns=["evidence", "paragraphs"])
 
     made = ["evidence", "noisy", *["paragraphs"] * with_text]
     kept = [c for c in df.columns if c not in made]
-    judged = df.select(*kept, judge(df[text_col]).alias("__j")).select(*kept, F.col("__j.evidence").alias("evidence"), F.col("__j.paragraphs").alias("paragraphs"))
+    judged = df.select(*kept, judge.asNondeterministic()(df[text_col]).alias("__j")).select(*kept, F.col("__j.evidence").alias("evidence"), F.col("__j.paragraphs").alias("paragraphs"))
     judged = judged.withColumn("noisy", F.coalesce(F.col("evidence") >= LEAST_EVIDENCE, F.lit(False)))
     return judged.select(*kept, *made)
