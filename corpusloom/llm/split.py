@@ -129,7 +129,7 @@ def split_oversized(df: DataFrame, text_col: str = "text", limit: int = LIMIT, o
         F.lit(0).alias("piece_idx"), F.lit(0).alias("start"), size.alias("end"), text.alias("piece"))))
     made = ("piece_idx", "start", "end", "piece", "n_pieces")
     kept = [df[c] for c in df.columns if c not in made]
-    pieces = df.select(*kept, F.coalesce(cut(F.when(size > limit, text)), whole).alias("__pieces"))
+    pieces = df.select(*kept, F.coalesce(cut.asNondeterministic()(F.when(size > limit, text)), whole).alias("__pieces"))
     return (
         pieces.withColumn("n_pieces", F.size("__pieces"))
         .withColumn("__p", F.explode("__pieces"))
