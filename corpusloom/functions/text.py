@@ -41,20 +41,35 @@ def inner_digit_count(c: Column | str) -> Column:
     return F.regexp_count(col(c), F.lit(rf"(?<=[{LETTER}])[{DIGIT}](?=[{LETTER}])"))
 
 
-def looks_garbled(c: Column | str) -> Column:
-    """Whether a page's native text is unusable. Blank and null texts are not; text with many letters beyond ASCII is real
+def profile(c: Column | str) -> Column:
+    """struct<nws, letters, foreign_letters, inner_digits>: all counts the gate needs, for a column of its own, so that each is made once a row."""
+    return F.struct(F.coalesce(nonws_len(c), F.lit(0)).alias("nws"), letter_count(c).alias("letters"), foreign_letter_count(c).alias("foreign_letters"), inner_digit_count(c).alias("inner_digits"))
+
+
+def garbled(p: Column | str) -> Column:
+    """Whether a page's native text is unusable, by its profile. Blank and null texts are not; text with many letters beyond ASCII is real
     text of another script; few letters, or digits inside words more often than DIGIT_SHARE, are signs of a broken font."""
-    n = nonws_len(c)
+    x = col(p)
+    n = x["nws"]
     return (
-        F.when(F.coalesce(n, F.lit(0)) == 0, False)
-        .when(foreign_letter_count(c) / n >= FOREIGN_SHARE, False)
-        .when(letter_count(c) / n < LETTER_SHARE, True)
-        .otherwise(inner_digit_count(c) / n > DIGIT_SHARE)
+        F.when(n == 0, False)
+        .when(x["foreign_letters"] / n >= FOREIGN_SHARE, False)
+        .when(x["letters"] / n < LETTER_SHARE, True)
+        .otherwise(x["inner_digits"] / n > DIGIT_SHARE)
     )
 
 
+def looks_garbled(c: Column | str) -> Column:
+    return garbled(profile(c))
+
+
+def read_again(p: Column | str) -> Column:
+    """Whether a page needs OCR, by its profile."""
+    return (col(p)["nws"] < OCR_LEAST_CHARS) | garbled(p)
+
+
 def needs_ocr(c: Column | str) -> Column:
-    return (F.coalesce(nonws_len(c), F.lit(0)) < OCR_LEAST_CHARS) | looks_garbled(c)
+    return read_again(profile(c))
 
 
 def page_part(page_no: Column | str, raw: Column | str, ocr: Column, ocr_text: Column | str, ocr_error: Column | str) -> Column:

@@ -33,22 +33,24 @@ def split_marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def gate(pages: DataFrame, raw: str = "raw_text") -> DataFrame:
     """Adds nws, garbled and ocr: whether a page's native text has to be read again."""
-    return pages.withColumns({"nws": F.coalesce(text.nonws_len(raw), F.lit(0)), "garbled": text.looks_garbled(raw), "ocr": text.needs_ocr(raw)})
+    profiled = pages.withColumn("__p", text.profile(raw))
+    return profiled.withColumns({"nws": F.col("__p.nws"), "garbled": text.garbled("__p"), "ocr": text.read_again("__p")}).drop("__p")
 
 
 def garbled_share(pages: DataFrame, doc: str, raw: str = "raw_text") -> DataFrame:
     """(doc, page_count, text_pages, garbled_pages, ratio, force_ocr): of the pages that bear text, how many are garbled."""
-    bears = text.nonws_len(raw) >= text.OCR_LEAST_CHARS
+    bears = F.col("__p.nws") >= text.OCR_LEAST_CHARS
     ratio = F.coalesce(F.col("garbled_pages") / F.nullif(F.col("text_pages"), F.lit(0)), F.lit(0.0))
-    counted = pages.groupBy(doc).agg(F.count("*").alias("page_count"), F.count_if(bears).alias("text_pages"), F.count_if(bears & text.looks_garbled(raw)).alias("garbled_pages"))
+    counted = pages.select(doc, text.profile(raw).alias("__p")).select(doc, bears.alias("bears"), text.garbled("__p").alias("garbled")).groupBy(doc).agg(
+        F.count("*").alias("page_count"), F.count_if("bears").alias("text_pages"), F.count_if(F.col("bears") & F.col("garbled")).alias("garbled_pages"))
     return counted.withColumn("ratio", ratio).withColumn("force_ocr", F.col("ratio") > text.FORCE_OCR_SHARE)
 
 
 def with_parts(pages: DataFrame, raw: str = "raw_text", ocr_text: str = "ocr_text", ocr_error: str = "ocr_error") -> DataFrame:
     """Adds part (the page under its marker), part_nws (marker included) and ocr_done."""
-    ocr = text.needs_ocr(raw)
-    part = text.page_part("page_no", raw, ocr, ocr_text, ocr_error)
-    return pages.withColumn("part", part).withColumn("part_nws", text.nonws_len("part")).withColumn("ocr_done", ocr & F.col(ocr_error).isNull())
+    known = pages.withColumn("__p", text.profile(raw)).withColumn("__ocr", text.read_again("__p"))
+    part = text.page_part("page_no", raw, F.col("__ocr"), ocr_text, ocr_error)
+    return known.withColumn("part", part).withColumn("part_nws", text.nonws_len("part")).withColumn("ocr_done", F.col("__ocr") & F.col(ocr_error).isNull()).drop("__p", "__ocr")
 
 
 def roll_up(parts: DataFrame, doc: str) -> DataFrame:
