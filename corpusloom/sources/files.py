@@ -59,7 +59,9 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sidecars(spark: SparkSession, root: str, schema: str = PICTURE_META, pattern: str = "*_meta.json") -> DataFrame:
-    """(meta_path, bad, fields of the schema): one row per file; a file that isn't a JSON object has bad = true and nulls."""
+    """(meta_path, bad, fields of the schema): one row per file; a file that isn't a JSON object has bad = true and nulls. A missing root has none: nothing was exported."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], f"meta_path STRING, bad BOOLEAN, {schema}")
     text = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(root).select(decoded("_metadata.file_path").alias("meta_path"), "value")
     parsed = text.withColumn("x", F.from_json("value", f"{schema}, _bad STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("x").isNull() | F.col("x._bad").isNotNull()

@@ -43,6 +43,8 @@ def test_paths_with_blanks_and_letters_of_any_script(spark, tmp_path):
 
 
 def test_missing_and_empty_roots(spark, tmp_path):
+    assert files.read_sidecars(spark, str(tmp_path / "none")).columns == ["meta_path", "bad", "caption", "page_number", "picture_ref", "source_file", "species"]
+    assert files.read_sidecars(spark, str(tmp_path / "none")).count() == 0
     with pytest.raises(FileNotFoundError):
         files.scan_files(spark, str(tmp_path / "none"))
     (tmp_path / "empty").mkdir()
