@@ -36,9 +36,9 @@ def clear(spark: SparkSession) -> None:
     _delete(spark, f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}")
 
 
-def _sweep(spark: SparkSession, folder: str) -> None:
+def _sweep(fs, at) -> None:
     try:
-        _delete(spark, folder)
+        fs.delete(at, True)
     except Exception:  # the session's JVM may be gone  # noqa: BLE001
         pass
 
@@ -50,7 +50,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/corpusloom/{spark.sparkContext.applicationId}"
     if folder not in _swept:
         _swept.add(folder)
-        atexit.register(_sweep, spark, folder)
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        atexit.register(_sweep, at.getFileSystem(spark._jsc.hadoopConfiguration()), at)  # works on when the context is stopped
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
