@@ -12,8 +12,9 @@ in the levels its smaller partners may have. Two sets are candidates if they sha
 their whole sets. The order decides only how much work there is: every statistic may be rough, the result stays exact, and nothing is capped.
 
 The index is shuffled once, by entry. A group of more than HOT rows isn't paired where it lies but in a join of its own, which
-is split over tasks, so no task holds an unbounded group. A sequence that makes up 2**-18 of all is of the frequent class,
-hence a single entry's group has a smaller share than that.
+is split over tasks, so no task holds an unbounded group. A sequence that stands SEQUENCE_LEAST times is of the frequent class,
+however large the collection, so a single entry's group doesn't grow with it; only where more than MOST_LISTED sequences
+stand so often, those that do twice as often are, and so on.
 
 Defined results: null texts, texts below `min_words` and texts without words give no pair; identical texts (by a digest of 128 bits) are one
 class, compared once and expanded at the end; a record with several rows counts with each of them, and never meets itself.
@@ -39,8 +40,8 @@ from .copies import expand
 WORDS = regex.compile(r"\p{L}{3,}")
 #: A word is frequent if it makes up this share of all words (so at most 2**17 are) and stands so often.
 WORD_SHARE, WORD_LEAST = 2.0**-17, 200
-#: A sequence is frequent if it makes up this share of all sequences of its field (so at most 2**18 are) and stands so often.
-SEQUENCE_SHARE, SEQUENCE_LEAST = 2.0**-18, 32
+#: A sequence is frequent if it stands so often; that is doubled until so many sequences are at most.
+SEQUENCE_LEAST, MOST_LISTED = 64, 1 << 21
 #: Rows of one entry that are paired where they lie, and rows a task holds before it looks for larger groups to pass on.
 HOT, HELD = 4096, 8_000_000
 #: Words that are worked on at once.
@@ -128,16 +129,18 @@ def tiny(threshold: float) -> int:
 class Statistics:
     """What is known of all texts: frequency classes of words by hash slot, and the frequent sequences with their counts."""
 
-    def __init__(self, words: dict[int, int], total: int, listed: dict[int, int]) -> None:
+    def __init__(self, words: dict[int, int], total: int, listed: dict[int, int] | tuple[np.ndarray, np.ndarray]) -> None:
         # Two words may share a slot: that makes a rare one pass for frequent, in every set alike, so the order stays one.
         self.words = np.zeros(int(_SLOTS) + 1, np.int16)
         for h, n in words.items():
             at = h & int(_SLOTS)
             self.words[at] = max(self.words[at], 1 + round(64 * math.log2(n / total / WORD_SHARE)))
-        self.listed = np.array(sorted(listed), np.uint64)
-        self.counts = np.array([listed[int(h)] for h in self.listed], np.int64)
-        self.maybe = np.zeros(int(_SLOTS) + 1, bool)
-        self.maybe[self.listed & _SLOTS] = True
+        h, n = (np.array([*listed], np.uint64), np.array([*listed.values()], np.int64)) if isinstance(listed, dict) else listed
+        order = np.argsort(h)
+        self.listed, self.classes = h[order], np.minimum(np.log2(n[order]) * 512, _LISTED - 1).astype(np.int16)
+        self.slots = max(_SLOTS, np.uint64((1 << (len(h).bit_length() + 3)) - 1))
+        self.maybe = np.zeros(int(self.slots) + 1, bool)
+        self.maybe[self.listed & self.slots] = True
 
     def levels(self, words: np.ndarray, sequences: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
         """The place of each sequence's class in the global order: 0 with a rare word, up to _LISTED by its words, from there by its count."""
@@ -145,11 +148,11 @@ class Statistics:
         sums = np.concatenate([[0], np.cumsum(score, dtype=np.int64)])
         rare = np.concatenate([[0], np.cumsum(score == 0, dtype=np.int64)])
         out = np.where(rare[place + width] > rare[place], 0, np.minimum(sums[place + width] - sums[place], _LISTED - 1))
-        seen = np.flatnonzero(self.maybe[sequences & _SLOTS])
+        seen = np.flatnonzero(self.maybe[sequences & self.slots])
         if len(seen) and len(self.listed):
             at = np.minimum(np.searchsorted(self.listed, sequences[seen]), len(self.listed) - 1)
             hit = self.listed[at] == sequences[seen]
-            out[seen[hit]] = _LISTED + np.minimum(np.log2(self.counts[at[hit]]) * 512, _LISTED - 1).astype(np.int64)
+            out[seen[hit]] = _LISTED + self.classes[at[hit]].astype(np.int64)
         return out
 
 
@@ -275,8 +278,13 @@ def tokens(texts: DataFrame, fields: list[Field]) -> DataFrame:
     return texts.select("field", "cls", "text").mapInArrow(run, "field tinyint, h bigint, cls binary, words binary")
 
 
+def seen_twice(n, parts):
+    """Of n places dealt to so many parts, how many lie in a part that has another of them."""
+    return n * -np.expm1(-n / parts)
+
+
 def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
-    """Counts over all texts. A task leaves out what it met once, which is at most a fifteenth of the count of anything as frequent as is asked for."""
+    """Counts over all texts. A part leaves out what it met once; `seen_twice` says what is left of a sequence's count then, of words as frequent as is asked for nearly all."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in range(len(fields))}
@@ -294,6 +302,7 @@ def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
                         value, n = np.unique(values, return_counts=True)
                         rows.append((value[n > 1], n[n > 1], kind, field))
                         rows.append((np.zeros(1, np.uint64), np.array([len(values)]), kind - 1, field))
+                rows.append((np.zeros(1, np.uint64), np.ones(1, np.int64), 4, field))
                 parts.clear()
             size = 0
             keys, n = (np.concatenate([np.zeros(0, t), *(r[k] for r in rows)]) for k, t in enumerate((np.uint64, np.int64)))
@@ -311,21 +320,32 @@ def statistics(tokens: DataFrame, fields: list[Field]) -> Statistics:
         yield out()
 
     counted = tokens.select("field", "words").mapInArrow(count, "field tinyint, kind tinyint, h bigint, n bigint").groupBy("field", "kind", "h").agg(F.sum("n").alias("n"))
-    least = F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 3, SEQUENCE_LEAST).otherwise(0)
-    counted = stage(counted.filter(F.col("n") >= least), "dup-counts")
-    totals = {(r["field"], r["kind"]): r["n"] for r in counted.filter("kind IN (0, 2)").collect()}
-    share = F.lit(0.0)
+    counted = stage(counted.filter(F.col("n") >= F.when(F.col("kind") == 1, WORD_LEAST).when(F.col("kind") == 3, min(4, SEQUENCE_LEAST)).otherwise(0)), "dup-counts")
+    totals = {(r["field"], r["kind"]): r["n"] for r in counted.filter("kind IN (0, 2, 4)").collect()}
+    # By their share at most 2**17 words a field come back.
+    often = F.lit(False)
     for (field, kind), n in totals.items():
-        share = F.when((F.col("field") == field) & (F.col("kind") == kind + 1), n * (WORD_SHARE if kind == 0 else SEQUENCE_SHARE)).otherwise(share)
-    # By their shares at most 2**17 words and 2**18 sequences a field come back.
-    top = counted.filter("kind IN (1, 3)").filter(F.col("n") >= share).toArrow()
-    discard(counted)
-    field, kind, h, n = (top.column(c).to_numpy() for c in ("field", "kind", "h", "n"))
+        if kind == 0:
+            often = often | ((F.col("field") == field) & (F.col("n") >= n * WORD_SHARE))
     words: dict[int, int] = {}
-    for f, x, c in zip(field[kind == 1].tolist(), h[kind == 1].view(np.uint64).tolist(), n[kind == 1].tolist()):
-        words[x] = words.get(x, 0) + c
+    for r in counted.filter("kind = 1").filter(often).toArrow().to_pylist():
+        x = r["h"] % (1 << 64)
+        words[x] = words.get(x, 0) + r["n"]
     total = max(1, sum(c for (_, k), c in totals.items() if k == 0))
-    return Statistics({x: c for x, c in words.items() if c >= total * WORD_SHARE}, total, dict(zip(h[kind == 3].view(np.uint64).tolist(), n[kind == 3].tolist())))
+    least = SEQUENCE_LEAST
+    while True:
+        often = F.lit(False)
+        for (field, kind), parts in totals.items():
+            if kind == 4:
+                often = often | ((F.col("field") == field) & (F.col("n") >= float(seen_twice(least, parts))))
+        sequences = counted.filter("kind = 3").filter(often)
+        if sequences.count() <= MOST_LISTED:
+            break
+        least *= 2
+    top = sequences.select("h", "n").toArrow()
+    discard(counted)
+    listed = (top.column("h").to_numpy().view(np.uint64), top.column("n").to_numpy())
+    return Statistics({x: c for x, c in words.items() if c >= total * WORD_SHARE}, total, listed)
 
 
 def similar_classes(held: DataFrame, fields: list[Field]) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import copies, neardup, queries
@@ -160,3 +161,28 @@ def test_classes_at_the_limit_of_copies(spark):
         rows = copies.membership(members).collect()
         assert len(rows) == n + 1 and {(r["cls"], r["representative"], r["n"]) for r in rows} == {(1, 0, n), (2, 5000, 1)}
         assert [tuple(r) for r in copies.representatives(members, alike).collect()] == [(0, 0, 5000, n, 1)]
+
+
+def test_a_sequence_is_frequent_by_its_count_in_large_collections_too(spark):
+    """Ten places a part of 36 million sequences: by a share it would be indexed singly, and its group grow with the collection."""
+    phrase = np.arange(1, 6, dtype=np.uint64)
+
+    def make(batches):
+        for batch in batches:
+            for k in batch.column("id").to_pylist():
+                words = np.random.default_rng(k).integers(1 << 20, 1 << 63, (40, 90_000), np.uint64)
+                words[:10, 500:505] = phrase
+                yield pa.RecordBatch.from_arrays([pa.array([0] * 40, pa.int8()), pa.array([w.tobytes() for w in words], pa.binary())], names=["field", "words"])
+
+    stats = neardup.statistics(spark.range(10, numPartitions=10).mapInArrow(make, "field tinyint, words binary"), [neardup.Field()])
+    sequence = neardup.raw(phrase, np.array([5]), 5, neardup._salt(0))[1]
+    assert stats.listed.tolist() == sequence.tolist()
+    assert stats.levels(phrase, sequence, np.array([0]), 5)[0] >= neardup._LISTED
+
+
+def test_no_more_sequences_are_listed_than_are_held(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SEQUENCE_LEAST", 2)
+    monkeypatch.setattr(neardup, "MOST_LISTED", 50, raising=False)
+    rows = [np.arange(k, k + 40, dtype=np.uint64).tobytes() for k in range(100) for _ in range(1 + k // 10)]
+    df = spark.createDataFrame([(0, bytearray(w)) for w in rows], "field tinyint, words binary").repartition(1)
+    assert 0 < len(neardup.statistics(df, [neardup.Field()]).listed) <= 50
