@@ -20,6 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,7 +222,20 @@ def clean_trigrams(words: Counter[str]) -> Counter[str]:
 
 
 def train(texts: DataFrame, samples: list[str], text_col: str) -> tuple[dict[str, int], float]:
-    """(trigram counts of all clean records, margin). Words are counted where they lie; only trigrams are shuffled."""
+    """(trigram counts of all clean records, margin)."""
+    return trained(corpus_trigrams(texts, samples, text_col), samples)
+
+
+def train_on_all(texts: DataFrame, text_col: str, samples: DataFrame, sample_col: str) -> tuple[dict[str, int], float]:
+    """`train` on a table of labelled texts of any size, all of which count."""
+    characters, halves = labelled_trigrams(samples, sample_col)
+    counts = corpus_trigrams(texts, [characters], text_col)
+    margin = margin_of_all(samples, sample_col, counts, halves)
+    return dict(Counter(counts) + Counter(halves[0]) + Counter(halves[1])), margin
+
+
+def corpus_trigrams(texts: DataFrame, samples: list[str], text_col: str) -> dict[str, int]:
+    """Trigram counts of all clean records. Words are counted where they lie; only trigrams are shuffled."""
     clean = clean_pattern(clean_alphabet(samples))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +248,7 @@ def train(texts: DataFrame, samples: list[str], text_col: str) -> tuple[dict[str
 
     # Clean words are of the alphabet, so the number of different trigrams is bounded by it, whatever the size of the corpus.
     rows = texts.select(text_col).mapInArrow(count, "g string, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect()
-    return trained({r["g"]: r["n"] for r in rows}, samples)
+    return {r["g"]: r["n"] for r in rows}
 
 
 def trained(counts: dict[str, int], samples: list[str]) -> tuple[dict[str, int], float]:
@@ -246,6 +260,44 @@ def trained(counts: dict[str, int], samples: list[str]) -> tuple[dict[str, int],
     return counts, margin
 
 
+def _half(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) & 1
+
+
+def labelled_trigrams(samples: DataFrame, sample_col: str) -> tuple[str, list[dict[str, int]]]:
+    """(characters, trigram counts of either half) of all labelled texts, however many; a text's half follows from its hash."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        characters: set[str] = set()
+        halves: list[Counter[str]] = [Counter(), Counter()]
+        for batch in batches:
+            for text in filter(None, batch.column(0).to_pylist()):
+                characters.update(text)
+                halves[_half(text)].update(trigrams(Counter(odd_words(text))))
+        rows = [(k, g, n) for k, grams in enumerate(halves) for g, n in grams.items()] + [(2, c, 1) for c in characters]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int8(), pa.string(), pa.int64()))], names=["half", "g", "n"])
+
+    # As in train: bounded by the characters there are.
+    rows = samples.select(sample_col).mapInArrow(count, "half tinyint, g string, n bigint").groupBy("half", "g").agg(F.sum("n").alias("n")).collect()
+    return "".join(sorted(r["g"] for r in rows if r["half"] == 2)), [{r["g"]: r["n"] for r in rows if r["half"] == k} for k in range(2)]
+
+
+def margin_of_all(samples: DataFrame, sample_col: str, counts: dict[str, int], halves: list[dict[str, int]], least: float = MARGIN) -> float:
+    """`validated_margin` over all labelled texts where they lie: each is judged by the model of the half it isn't in."""
+    shared = Shared(samples.sparkSession, [dict(Counter(counts) + Counter(half)) for half in halves])
+
+    def gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorers = [Restorer(own, least) for own in shared.value]
+        most = 0.0
+        for batch in batches:
+            for text in filter(None, batch.column(0).to_pylist()):
+                most = max([most, *(o[0] for w in odd_words(text) for o in restorers[1 - _half(text)].options(w)[:1])])
+        yield pa.RecordBatch.from_arrays([pa.array([most])], names=["gain"])
+
+    most = samples.select(sample_col).mapInArrow(gains, "gain double").agg(F.max("gain")).first()[0]
+    return max(least, 1.25 * (most or 0.0))
+
+
 _restorers: dict[str, Restorer] = {}
 
 
@@ -271,8 +323,7 @@ class Shared:
 
 def restore(df: DataFrame, samples: DataFrame, text_col: str = "full_text", sample_col: str = "sample", keep_text: bool = True) -> DataFrame:
     """All columns of `df` and garbled (boolean), chains (array<string>), words_changed (int) and, if wanted, restored (string)."""
-    own = [text for _, text in bounded_samples(samples, None, sample_col)]
-    shared = Shared(df.sparkSession, train(df, own, text_col))
+    shared = Shared(df.sparkSession, train_on_all(df, text_col, samples, sample_col))
 
     kind = "struct<garbled:boolean,chains:array<string>,words_changed:int,restored:string>"
 

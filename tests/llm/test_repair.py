@@ -1,6 +1,7 @@
 """Restoring of garbled text, languages and scan noise, on sentences from the reference samples."""
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -228,6 +229,20 @@ def test_labelled_rows_are_bounded_by_their_texts(spark):
     assert 500 < sum(len(t) for k, t in got if k == "a") < 4000 and {k for k, _ in got} == {None, "a", "b"}
 
 
+def test_repair_is_trained_on_all_labelled_rows(spark, monkeypatch):
+    """However little text is taken elsewhere, no labelled row is left out of the characters, counts and margin of the repair."""
+    monkeypatch.setattr(mojibake.bounded_samples, "__defaults__", (50,))
+    texts = [f"größe {'äöü'[k % 3]}{chr(0x250 + k)} número {k}" for k in range(80)]
+    refs = spark.createDataFrame([(t,) for t in [*texts, texts[0], None, ""]], "sample string").repartition(5)
+    asked = []
+    real = mojibake.Shared
+    monkeypatch.setattr(mojibake, "Shared", lambda spark, value: asked.append(value) or real(spark, value))
+    df = spark.createDataFrame([(1, "abc")], "doc_id int, full_text string")
+    assert [r["garbled"] for r in mojibake.restore(df, refs, "full_text", "sample").collect()] == [False]
+    counts, margin = asked[-1]
+    assert counts == dict(mojibake.trigrams(Counter(w for t in [*texts, texts[0]] for w in mojibake.odd_words(t)))) and margin >= mojibake.MARGIN
+
+
 def test_unequal_samples_still_give_the_right_language(refs):
     parser = language.Parser({k: v[::2] if k != "fr" else v[::2][:6] for k, v in refs.items()})
     texts, want = zip(*[(s, k) for k, v in refs.items() for s in v[1::2]])
